@@ -116,7 +116,7 @@ def conform(bronze: DataFrame, contract: Contract, policy: str = FAIL) -> Enforc
     the scan. Looking for repeated keys runs a job on the key column before
     the result is planned; if there are none, no row is exchanged.
     """
-    rows, _ = unique_rows(cleanse(bronze, contract), [contract.key], contract.distinct, _UNIQUE)
+    rows = unique_rows(cleanse(bronze, contract), [contract.key], contract.distinct, _UNIQUE)
     stored = store(rows, contract, _UNIQUE)
     expectations = [
         key_expectation(contract, F.col(_UNIQUE)),

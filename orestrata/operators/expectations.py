@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orestrata.sources.shared import settle
+from orestrata.sources.shared import settle, settle_unless_empty
 
 FAIL, QUARANTINE, WARN = "fail", "quarantine", "warn"
 POLICIES = (FAIL, QUARANTINE, WARN)
@@ -103,8 +103,8 @@ def raise_if_any(rejects: DataFrame, report: DataFrame, table: str) -> None:
     raise ConstraintViolation(f"{table} violates " + ", ".join(found))
 
 
-def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The non-NULL key values which occur more than once, settled.
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame | None:
+    """The non-NULL key values which occur more than once, settled; None if there are none.
 
     Reads the key columns only and exchanges one row per key value and task.
     """
@@ -112,35 +112,34 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     for column in key:
         keyed = keyed.where(F.col(column).isNotNull())
     counted = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias(_ROWS))
-    return settle(counted.where(F.col(_ROWS) > 1).select(*key))
+    return settle_unless_empty(counted.where(F.col(_ROWS) > 1).select(*key))
 
 
 def unique_rows(
     df: DataFrame, key: Sequence[str], distinct: bool, flag: str
-) -> tuple[DataFrame, bool]:
+) -> DataFrame:
     """Make the key unique as far as that is possible without a choice.
 
     With ``distinct``, exact copies of a row collapse into one. Rows which
     still share their key are in conflict. The result is the rows with a
-    boolean column ``flag`` (false for conflicting rows), and whether there is
-    any conflict.
+    boolean column ``flag``, false for conflicting rows.
 
     Only the key columns are shuffled: most tables turn out to have no
     repeated key, and then the rows pass without any exchange. Where keys do
-    repeat, just the rows holding them are compared as a whole. Copies
+    repeat, just the rows holding them are compared as a whole, once. Copies
     collapse within each task first, and are spread by all their columns.
     """
     repeated = repeated_keys(df, key)
-    if repeated.isEmpty():
-        return df.withColumn(flag, F.lit(True)), False
+    if repeated is None:
+        return df.withColumn(flag, F.lit(True))
     if distinct:
-        copies = df.join(repeated, list(key), "left_semi").dropDuplicates()
+        copies = settle(df.join(repeated, list(key), "left_semi").dropDuplicates())
         conflicts = repeated_keys(copies, key)
         apart = df.join(repeated, list(key), "left_anti")
         df = apart.unionByName(copies)
     else:
         conflicts = repeated
-    if conflicts.isEmpty():
-        return df.withColumn(flag, F.lit(True)), False
+    if conflicts is None:
+        return df.withColumn(flag, F.lit(True))
     marked = df.join(conflicts.withColumn(_LISTED, F.lit(True)), list(key), "left")
-    return marked.withColumn(flag, F.col(_LISTED).isNull()).drop(_LISTED), True
+    return marked.withColumn(flag, F.col(_LISTED).isNull()).drop(_LISTED)

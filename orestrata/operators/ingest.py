@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orestrata.sources.overlap import PARALLELISM, overlap
 from orestrata.sources.readers import Source
 
 LOAD_REPORT = "TableName string, Status string, Rows bigint, Error string"
@@ -35,7 +36,7 @@ def ingest(
 def load_isolated(
     spark: SparkSession,
     loads: Mapping[str, Callable[[], DataFrame]],
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
 ) -> DataFrame:
     """Run each table's load on its own; a failing one does not stop the others.
 
@@ -49,9 +50,8 @@ def load_isolated(
         except Exception as error:  # whatever the source raises is reported
             return table, "failed", None, f"{type(error).__name__}: {error}"
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(attempt, loads))
-    return spark.createDataFrame(rows, LOAD_REPORT)
+    outcomes = overlap({table: partial(attempt, table) for table in loads}, parallelism)
+    return spark.createDataFrame(list(outcomes.values()), LOAD_REPORT)
 
 
 def row_counts(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:

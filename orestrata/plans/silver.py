@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,19 +14,22 @@ from orestrata.operators.expectations import FAIL, Enforced
 from orestrata.operators.profiling import orphan_count
 from orestrata.operators.reconcile import reconcile
 from orestrata.plans.contracts import CONTRACTS
+from orestrata.sources.overlap import PARALLELISM, overlap
 
 
 def conform_tables(
     bronze: Mapping[str, DataFrame],
     tables: Iterable[str] = TABLES,
     policy: str = FAIL,
-    parallelism: int = 8,
+    parallelism: int = PARALLELISM,
 ) -> dict[str, Enforced]:
     """Conform several tables; none depends on another, so their jobs overlap."""
-    tables = list(tables)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = pool.map(lambda table: conform(bronze[table], CONTRACTS[table], policy), tables)
-        return dict(zip(tables, results))
+
+
+    def conformed(table: str) -> Enforced:
+        return conform(bronze[table], CONTRACTS[table], policy)
+
+    return overlap({table: partial(conformed, table) for table in tables}, parallelism)
 
 
 def silver_tables(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +22,11 @@ from orestrata.plans.gold import (
     fact_join_loss,
     fact_sales,
     gold_row_counts,
-    store_all,
 )
 from orestrata.plans.profile import profile_report
 from orestrata.plans.silver import conform_tables, silver_row_counts
 from orestrata.sources.layers import Layers
+from orestrata.sources.overlap import overlap
 from orestrata.sources.readers import Source
 
 REJECTS = "_rejects"
@@ -53,6 +53,15 @@ def read_layer(layers: Layers, layer: str, tables: Iterable[str]) -> dict[str, D
     return {table: layers.read(layer, table) for table in tables}
 
 
+def store_all(
+    layers: Layers, layer: str, frames: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """Store independent tables of one layer."""
+    return overlap(
+        {name: partial(layers.write, df, layer, name) for name, df in frames.items()}
+    )
+
+
 def build_silver(
     bronze: Mapping[str, DataFrame], layers: Layers, policy: str = FAIL
 ) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -63,14 +72,11 @@ def build_silver(
     conformed = conform_tables(bronze, TABLES, policy)
     violations = reduce(DataFrame.unionByName, [each.report for each in conformed.values()])
     silver = store_all(
-        {table: each.good for table, each in conformed.items()},
-        lambda table, df: layers.write(df, SILVER, table),
+        layers, SILVER, {table: each.good for table, each in conformed.items()}
     )
     if policy != FAIL:
-        store_all(
-            {f"{table}{REJECTS}": each.rejects for table, each in conformed.items()},
-            lambda table, df: layers.write(df, SILVER, table),
-        )
+        rejects = {f"{table}{REJECTS}": each.rejects for table, each in conformed.items()}
+        store_all(layers, SILVER, rejects)
     return silver, violations
 
 
@@ -93,7 +99,7 @@ def build_gold(
         name: days if name == "DimDate" else build_dimension(name, silver, as_of)
         for name in DIMENSIONS
     }
-    gold = store_all(frames, lambda name, df: layers.write(df, GOLD, name))
+    gold = store_all(layers, GOLD, frames)
     gold[FACT] = layers.write(fact_sales(silver, gold), GOLD, FACT)
     return gold
 

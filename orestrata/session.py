@@ -32,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")  # many queries, one session
+        .config("spark.sql.ui.explainMode", "simple")
     )
     spark = tune(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,7 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -36,3 +37,13 @@ def settle(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_unless_empty(df: DataFrame) -> DataFrame | None:
+    """``settle`` which finds out in the same job whether there are any rows."""
+    path = new_folder(df.sparkSession)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    if seen.get["rows"] == 0:
+        return None
+    return df.sparkSession.read.schema(df.schema).parquet(path)

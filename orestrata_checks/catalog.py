@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, TABLES
 from orestrata.operators.calendar import dim_date_spanning
 from orestrata.operators.conform import conform
-from orestrata.operators.expectations import FAILED, QUARANTINE, violation_report
-from orestrata.operators.expectations import Expectation
+from orestrata.operators.expectations import FAILED, QUARANTINE, Expectation, violation_report
 from orestrata.operators.ingest import load_isolated
 from orestrata.operators.reconcile import sample
 from orestrata.plans import marts
@@ -33,7 +32,6 @@ from orestrata.plans.gold import (
     fact_sales,
     gold_row_counts,
     key_map,
-    store_all,
 )
 from orestrata.plans.profile import PROFILES, profile_report
 from orestrata.plans.silver import (
@@ -45,6 +43,7 @@ from orestrata.plans.silver import (
 )
 from orestrata.session import tune
 from orestrata.sources.layers import PathLayers
+from orestrata.sources.overlap import overlap
 from orestrata.sources.shared import new_folder, settle
 from orestrata_checks.bindings import bound_table
 
@@ -197,19 +196,24 @@ def star(
     """Silver tables and stored dimensions as the fact needs them.
 
     Dimensions which only filter and number the fact are stored as key maps,
-    those in ``described`` with their attributes.
+    those in ``described`` with their attributes. Nothing here waits for
+    anything else but the tables it reads.
     """
-    described = set(described)
+
+    def stored(name: str) -> tuple[dict[str, DataFrame], DataFrame]:
+        if name in described:
+            rows = silver(spark, sf_dir, DIMENSION_TABLES[name])
+            return rows, settle(build_dimension(name, rows, AS_OF))
+        rows = silver(spark, sf_dir, [DIMENSION_KEYS[name][2]])
+        return rows, settle(key_map(name, rows))
+
     names = [name for name in DIMENSION_KEYS if with_card or name != "DimCreditCard"]
-    tables = {"SalesOrderHeader", "SalesOrderDetail"}
-    for name in names:
-        tables.update(DIMENSION_TABLES[name] if name in described else [DIMENSION_KEYS[name][2]])
-    rows = silver(spark, sf_dir, sorted(tables))
-    frames = {
-        name: build_dimension(name, rows, AS_OF) if name in described else key_map(name, rows)
-        for name in names
-    }
-    return rows, store_all(frames, lambda name, df: settle(df))
+    steps = {"": partial(silver, spark, sf_dir, ("SalesOrderDetail", "SalesOrderHeader"))}
+    done = overlap(steps | {name: partial(stored, name) for name in names})
+    rows = dict(done.pop(""))
+    for tables, _ in done.values():
+        rows |= tables
+    return rows, {name: dimension for name, (_, dimension) in done.items()}
 
 
 def fact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
