@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orestrata.sources.shared import settle, settle_unless_empty
@@ -19,7 +20,7 @@ FAIL, QUARANTINE, WARN = "fail", "quarantine", "warn"
 POLICIES = (FAIL, QUARANTINE, WARN)
 
 FAILED = "FailedConstraints"
-REPORT_COLUMNS = ("TableName", "ConstraintName", "Violations")
+VIOLATIONS = "TableName string, ConstraintName string, Violations bigint"
 
 _ROWS, _LISTED = "_rows", "_listed"
 
@@ -38,12 +39,15 @@ class Expectation:
         return F.coalesce(self.condition, F.lit(True))
 
 
-def violation_report(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
-    """(TableName, ConstraintName, Violations), one row per expectation, in one pass."""
-    counts = [
+def _violation_counts(expectations: Sequence[Expectation]) -> list[Column]:
+    return [
         F.count_if(~expectation.met).alias(f"n{number}")
         for number, expectation in enumerate(expectations)
     ]
+
+
+def violation_report(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
+    """(TableName, ConstraintName, Violations), one row per expectation, in one pass."""
     rows = [
         F.struct(
             F.lit(table).alias("TableName"),
@@ -52,16 +56,58 @@ def violation_report(df: DataFrame, table: str, expectations: Sequence[Expectati
         )
         for number, expectation in enumerate(expectations)
     ]
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+    return df.agg(*_violation_counts(expectations)).select(F.inline(F.array(*rows)))
 
 
 @dataclass(frozen=True)
 class Enforced:
-    """Rows split by a policy. ``rejects`` names the failed constraints in an array."""
+    """Rows with the expectations on them, split as a policy says.
+
+    ``columns`` are those of the results; the rows may carry helper columns.
+    """
+
+    table: str
+    rows: DataFrame
+    expectations: tuple[Expectation, ...]
+    policy: str
+    columns: tuple[str, ...]
+
+    def _selected(self, df: DataFrame, *more: Column) -> DataFrame:
+        return df.select(*[F.col(f"`{column}`") for column in self.columns], *more)
+
+    def _all_met(self) -> Column:
+        return reduce(lambda a, b: a & b, [each.met for each in self.expectations], F.lit(True))
 
-    good: DataFrame
-    rejects: DataFrame
-    report: DataFrame
+    def _kept(self, df: DataFrame) -> DataFrame:
+        return self._selected(df.where(self._all_met()) if self.policy == QUARANTINE else df)
+
+    @property
+    def good(self) -> DataFrame:
+        return self._kept(self.rows)
+
+    @property
+    def rejects(self) -> DataFrame:
+        """Violating rows, with the names of the failed constraints in an array."""
+        failed = F.array_compact(
+            F.array(*[F.when(~each.met, F.lit(each.name)) for each in self.expectations])
+        )
+        return self._selected(self.rows.where(~self._all_met()), failed.alias(FAILED))
+
+    @property
+    def report(self) -> DataFrame:
+        return violation_report(self.rows, self.table, self.expectations)
+
+    def good_counting(self, seen: Observation) -> DataFrame:
+        """``good`` which counts all violations in passing, while it is being stored."""
+        return self._kept(self.rows.observe(seen, *_violation_counts(self.expectations)))
+
+    def counted(self, seen: Observation) -> list[tuple[str, str, int]]:
+        """The rows of ``report`` as counted by ``good_counting``."""
+        counts = seen.get
+        return [
+            (self.table, each.name, counts[f"n{number}"])
+            for number, each in enumerate(self.expectations)
+        ]
 
 
 def enforce(
@@ -75,32 +121,15 @@ def enforce(
 
     ``fail`` raises if any row violates one, ``quarantine`` splits the rows,
     ``warn`` keeps all rows as good and lists the offending ones as well.
-    ``columns`` are those of the results, if ``df`` carries helper columns.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
-    columns = list(columns or df.columns)
-    all_met = F.lit(True)
-    for expectation in expectations:
-        all_met = all_met & expectation.met
-    failed = F.array_compact(
-        F.array(*[F.when(~expectation.met, F.lit(expectation.name)) for expectation in expectations])
-    )
-    quoted = [F.col(f"`{column}`") for column in columns]
-    rejects = df.where(~all_met).select(*quoted, failed.alias(FAILED))
-    good = df.select(*quoted) if policy == WARN else df.where(all_met).select(*quoted)
-    report = violation_report(df, table, expectations)
+    result = Enforced(table, df, tuple(expectations), policy, tuple(columns or df.columns))
     if policy == FAIL:
-        raise_if_any(rejects, report, table)
-        good = df.select(*quoted)
-    return Enforced(good, rejects, report)
-
-
-def raise_if_any(rejects: DataFrame, report: DataFrame, table: str) -> None:
-    if rejects.isEmpty():
-        return
-    found = [f"{row[1]}: {row[2]}" for row in report.where("Violations > 0").collect()]
-    raise ConstraintViolation(f"{table} violates " + ", ".join(found))
+        found = [f"{row[1]}: {row[2]}" for row in result.report.collect() if row[2]]
+        if found:
+            raise ConstraintViolation(f"{table} violates " + ", ".join(found))
+    return result
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame | None:

@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import partial, reduce
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, GOLD, SILVER, TABLES
 from orestrata.operators.calendar import dim_date, dim_date_spanning
-from orestrata.operators.expectations import FAIL
+from orestrata.operators.expectations import FAIL, VIOLATIONS
 from orestrata.plans.bronze import bronze_row_counts, load_bronze
 from orestrata.plans.gold import (
     build_dimension,
@@ -30,6 +31,7 @@ from orestrata.sources.overlap import overlap
 from orestrata.sources.readers import Source
 
 REJECTS = "_rejects"
+ORDER_YEAR = "OrderYear"
 
 
 class LoadFailed(Exception):
@@ -68,16 +70,29 @@ def build_silver(
     """Store all silver tables, and under ``<table>_rejects`` what was set aside.
 
     Under the policy ``fail`` every table is checked before any is written.
+    Violations are counted while a table is being stored; only where there are
+    any are its rows gone through again for the rejects.
     """
+    spark = next(iter(bronze.values())).sparkSession
     conformed = conform_tables(bronze, TABLES, policy)
-    violations = reduce(DataFrame.unionByName, [each.report for each in conformed.values()])
-    silver = store_all(
-        layers, SILVER, {table: each.good for table, each in conformed.items()}
+
+    def stored(table: str) -> tuple[DataFrame, list[tuple[str, str, int]]]:
+        each, seen = conformed[table], Observation()
+        df = layers.write(each.good_counting(seen), SILVER, table)
+        counts = each.counted(seen)
+        if policy != FAIL:
+            clean = not any(count for *_, count in counts)
+            rejects = each.rejects
+            if clean:
+                rejects = spark.createDataFrame([], rejects.schema)
+            layers.write(rejects, SILVER, f"{table}{REJECTS}")
+        return df, counts
+
+    done = overlap({table: partial(stored, table) for table in TABLES})
+    violations = spark.createDataFrame(
+        [count for _, counts in done.values() for count in counts], VIOLATIONS
     )
-    if policy != FAIL:
-        rejects = {f"{table}{REJECTS}": each.rejects for table, each in conformed.items()}
-        store_all(layers, SILVER, rejects)
-    return silver, violations
+    return {table: df for table, (df, _) in done.items()}, violations
 
 
 def build_gold(
@@ -85,10 +100,13 @@ def build_gold(
     layers: Layers,
     as_of: datetime | None = None,
     calendar: tuple[date | str, date | str] | None = None,
+    fact_by_year: bool = False,
 ) -> dict[str, DataFrame]:
     """Store the dimensions, then the fact which looks them up.
 
-    Without a ``calendar`` range the date dimension spans the years of the orders.
+    Without a ``calendar`` range the date dimension spans the years of the
+    orders. ``fact_by_year`` adds a column OrderYear to the fact and lays its
+    files out by it, for readers who ask for some years only.
     """
     orders = silver["SalesOrderHeader"]
     if calendar is None:
@@ -100,7 +118,10 @@ def build_gold(
         for name in DIMENSIONS
     }
     gold = store_all(layers, GOLD, frames)
-    gold[FACT] = layers.write(fact_sales(silver, gold), GOLD, FACT)
+    fact = fact_sales(silver, gold)
+    if fact_by_year:
+        fact = fact.withColumn(ORDER_YEAR, F.expr("OrderDateKey div 10000").cast("int"))
+    gold[FACT] = layers.write(fact, GOLD, FACT, [ORDER_YEAR] if fact_by_year else [])
     return gold
 
 
@@ -111,6 +132,7 @@ def build_warehouse(
     policy: str = FAIL,
     as_of: datetime | None = None,
     calendar: tuple[date | str, date | str] | None = None,
+    fact_by_year: bool = False,
 ) -> BuildReport:
     """Run every step. Repeating it replaces all tables and gives the same ones."""
     layers.create()
@@ -120,7 +142,7 @@ def build_warehouse(
         raise LoadFailed("; ".join(f"{row.TableName}: {row.Error}" for row in failed))
     bronze = read_layer(layers, BRONZE, TABLES)
     silver, violations = build_silver(bronze, layers, policy)
-    gold = build_gold(silver, layers, as_of, calendar)
+    gold = build_gold(silver, layers, as_of, calendar, fact_by_year)
     return BuildReport(
         loads=loads,
         bronze_rows=bronze_row_counts(spark, bronze),

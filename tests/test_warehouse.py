@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 from orestrata import CatalogLayers, ConstraintViolation, FrameSource, PathLayers, build_warehouse
 from orestrata.fixed_values import DIMENSIONS, FACT, GOLD, SILVER, TABLES
-from orestrata.plans.warehouse import REJECTS, LoadFailed, build_silver
+from orestrata.plans.warehouse import REJECTS, LoadFailed, build_gold, build_silver
 
 AS_OF = datetime(2002, 1, 1)
+VIOLATIONS = {
+    "CK_SalesOrderHeader_DueDate": 15,
+    "CK_SalesOrderHeader_ShipDate": 16,
+    "CK_SalesOrderDetail_OrderQty": 19,
+    "CK_SalesOrderDetail_UnitPrice": 13,
+}
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +33,7 @@ def test_reports(built):
     assert len(loads) == 14 and all(row[1] == "loaded" for row in loads)
     assert {name: n for name, _, n, _ in loads} == dict(rows(report.bronze_rows))
     assert report.profile.count() == 23
-    assert report.violations.where("Violations > 0").count() == 4
+    assert {row[1]: row[2] for row in rows(report.violations) if row[2]} == VIOLATIONS
     counts = {row[0]: row[1:] for row in rows(report.silver_rows)}
     assert len(counts) == 14
     assert {name for name, row in counts.items() if not row[2]} == {
@@ -129,6 +135,16 @@ def test_missing_source_table_stops_the_build(spark, bronze, tmp_path):
     assert layers.read("bronze", "Person").count() > 0
 
 
+def test_fact_by_year(spark, built, tmp_path):
+    layers, _ = built
+    silver = {table: layers.read(SILVER, table) for table in TABLES}
+    gold = build_gold(silver, PathLayers(spark, str(tmp_path)), AS_OF, fact_by_year=True)
+    year = gold[FACT].where("OrderYear = 1997")
+    assert "PartitionFilters: [isnotnull(OrderYear" in year._jdf.queryExecution().toString()
+    expected = layers.read(GOLD, FACT).where("OrderDateKey BETWEEN 19970101 AND 19971231")
+    assert sorted(rows(year.drop("OrderYear"))) == sorted(rows(expected))
+
+
 def test_catalog_build_can_be_queried(spark, bronze, tmp_path):
     layers = CatalogLayers(spark, str(tmp_path), prefix="shop_")
     build_warehouse(
