@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from orestrata.sources.shared import settle, settle_unless_empty
+from orestrata.sources.shared import settle_counting
 
 FAIL, QUARANTINE, WARN = "fail", "quarantine", "warn"
 POLICIES = (FAIL, QUARANTINE, WARN)
@@ -132,8 +132,8 @@ def enforce(
     return result
 
 
-def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame | None:
-    """The non-NULL key values which occur more than once, settled; None if there are none.
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int]:
+    """The non-NULL key values which occur more than once, settled, and their number.
 
     Reads the key columns only and exchanges one row per key value and task.
     """
@@ -141,12 +141,10 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame | None:
     for column in key:
         keyed = keyed.where(F.col(column).isNotNull())
     counted = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias(_ROWS))
-    return settle_unless_empty(counted.where(F.col(_ROWS) > 1).select(*key))
+    return settle_counting(counted.where(F.col(_ROWS) > 1).select(*key))
 
 
-def unique_rows(
-    df: DataFrame, key: Sequence[str], distinct: bool, flag: str
-) -> DataFrame:
+def unique_rows(df: DataFrame, key: Sequence[str], distinct: bool, flag: str) -> DataFrame:
     """Make the key unique as far as that is possible without a choice.
 
     With ``distinct``, exact copies of a row collapse into one. Rows which
@@ -158,17 +156,17 @@ def unique_rows(
     repeat, just the rows holding them are compared as a whole, once. Copies
     collapse within each task first, and are spread by all their columns.
     """
-    repeated = repeated_keys(df, key)
-    if repeated is None:
-        return df.withColumn(flag, F.lit(True))
-    if distinct:
-        copies = settle(df.join(repeated, list(key), "left_semi").dropDuplicates())
-        conflicts = repeated_keys(copies, key)
-        apart = df.join(repeated, list(key), "left_anti")
+    conflicts, count = repeated_keys(df, key)
+    if count and distinct:
+        apart = df.join(conflicts, list(key), "left_anti")
+        copies = df.join(conflicts, list(key), "left_semi").dropDuplicates()
+        copies, kept = settle_counting(copies)
         df = apart.unionByName(copies)
-    else:
-        conflicts = repeated
-    if conflicts is None:
+        if kept == count:  # one row per key is left
+            count = 0
+        else:
+            conflicts, count = repeated_keys(copies, key)
+    if not count:
         return df.withColumn(flag, F.lit(True))
     marked = df.join(conflicts.withColumn(_LISTED, F.lit(True)), list(key), "left")
     return marked.withColumn(flag, F.col(_LISTED).isNull()).drop(_LISTED)

@@ -39,11 +39,8 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settle_unless_empty(df: DataFrame) -> DataFrame | None:
-    """``settle`` which finds out in the same job whether there are any rows."""
-    path = new_folder(df.sparkSession)
+def settle_counting(df: DataFrame) -> tuple[DataFrame, int]:
+    """``settle``, and the number of rows as counted by the same job."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    if seen.get["rows"] == 0:
-        return None
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    settled = settle(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return settled, seen.get["rows"]

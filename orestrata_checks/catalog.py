@@ -192,45 +192,50 @@ def dim_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star(
     spark: SparkSession, sf_dir: str, with_card: bool, described: Iterable[str] = ()
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Silver tables and stored dimensions as the fact needs them.
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame], DataFrame]:
+    """Silver tables, stored dimensions and raw lines as the fact needs them.
 
     Dimensions which only filter and number the fact are stored as key maps,
-    those in ``described`` with their attributes. Nothing here waits for
-    anything else but the tables it reads.
+    those in ``described`` with their attributes. The raw lines are numbered
+    once and stored, as bronze is in a build. No step waits for another.
     """
+    bronze = Bronze(spark, sf_dir)
 
-    def stored(name: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    def dimension(name: str) -> tuple[dict[str, DataFrame], DataFrame]:
         if name in described:
-            rows = silver(spark, sf_dir, DIMENSION_TABLES[name])
+            rows = silver_tables(bronze, DIMENSION_TABLES[name], QUARANTINE)
             return rows, settle(build_dimension(name, rows, AS_OF))
-        rows = silver(spark, sf_dir, [DIMENSION_KEYS[name][2]])
+        rows = silver_tables(bronze, [DIMENSION_KEYS[name][2]], QUARANTINE)
         return rows, settle(key_map(name, rows))
 
+    def lines() -> tuple[dict[str, DataFrame], DataFrame]:
+        raw = settle(bronze["SalesOrderDetail"])
+        return silver_tables({"SalesOrderDetail": raw}, ["SalesOrderDetail"], QUARANTINE), raw
+
+    def orders() -> tuple[dict[str, DataFrame], None]:
+        return silver_tables(bronze, ["SalesOrderHeader"], QUARANTINE), None
+
     names = [name for name in DIMENSION_KEYS if with_card or name != "DimCreditCard"]
-    steps = {"": partial(silver, spark, sf_dir, ("SalesOrderDetail", "SalesOrderHeader"))}
-    done = overlap(steps | {name: partial(stored, name) for name in names})
-    rows = dict(done.pop(""))
-    for tables, _ in done.values():
-        rows |= tables
-    return rows, {name: dimension for name, (_, dimension) in done.items()}
+    done = overlap(
+        {"lines": lines, "orders": orders} | {name: partial(dimension, name) for name in names}
+    )
+    rows = {table: df for tables, _ in done.values() for table, df in tables.items()}
+    return rows, {name: done[name][1] for name in names}, done["lines"][1]
 
 
 def fact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_sales(*star(spark, sf_dir, with_card=True))
+    rows, dimensions, _ = star(spark, sf_dir, with_card=True)
+    return fact_sales(rows, dimensions)
 
 
 def gold_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, dimensions = star(spark, sf_dir, with_card=True)
-    return gold_row_counts(
-        Bronze(spark, sf_dir)["SalesOrderDetail"],
-        rows["SalesOrderDetail"],
-        fact_sales(rows, dimensions),
-    )
+    rows, dimensions, raw_lines = star(spark, sf_dir, with_card=True)
+    return gold_row_counts(raw_lines, rows["SalesOrderDetail"], fact_sales(rows, dimensions))
 
 
 def join_loss_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_join_loss(*star(spark, sf_dir, with_card=False))
+    rows, dimensions, _ = star(spark, sf_dir, with_card=False)
+    return fact_join_loss(rows, dimensions)
 
 
 # --- business questions -----------------------------------------------------
@@ -239,7 +244,8 @@ def join_loss_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_question(
     spark: SparkSession, sf_dir: str, question: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    return question(fact_sales(*star(spark, sf_dir, with_card=False), with_card=False))
+    rows, dimensions, _ = star(spark, sf_dir, with_card=False)
+    return question(fact_sales(rows, dimensions, with_card=False))
 
 
 def star_question(
@@ -248,7 +254,7 @@ def star_question(
     question: Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame],
     described: str,
 ) -> DataFrame:
-    rows, dimensions = star(spark, sf_dir, with_card=False, described=[described])
+    rows, dimensions, _ = star(spark, sf_dir, with_card=False, described=[described])
     return question(fact_sales(rows, dimensions, with_card=False), dimensions)
 
 

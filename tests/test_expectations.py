@@ -54,8 +54,9 @@ def test_unknown_policy(frame):
 
 def test_repeated_keys(frame):
     df = frame([(1,), (2,), (2,), (None,), (None,)], "k int")
-    assert rows(repeated_keys(df, ["k"])) == [(2,)]
-    assert repeated_keys(df.where("k = 1"), ["k"]) is None
+    keys, count = repeated_keys(df, ["k"])
+    assert rows(keys) == [(2,)] and count == 1
+    assert repeated_keys(df.where("k = 1"), ["k"])[1] == 0
 
 
 def test_copies_collapse_and_conflicts_are_flagged(frame):
@@ -66,6 +67,8 @@ def test_copies_collapse_and_conflicts_are_flagged(frame):
         (3, "c", False),
         (3, "d", False),
     ]
+    copies_only = unique_rows(df.where("k < 3"), ["k"], True, "ok")
+    assert sorted(rows(copies_only)) == [(1, "a", True), (2, "b", True)]
     flagged = rows(unique_rows(df, ["k"], False, "ok"))
     assert len(flagged) == 6 and sum(ok for *_, ok in flagged) == 1
 

@@ -16,7 +16,7 @@ from orestrata import (
 )
 from orestrata.plans.bronze import bronze_table
 from orestrata.sources.overlap import overlap
-from orestrata.sources.shared import settle, settle_unless_empty, shared_folder
+from orestrata.sources.shared import settle, settle_counting, shared_folder
 
 
 @pytest.fixture
@@ -122,5 +122,6 @@ def test_settle(spark, table):
     assert settled.schema == table.schema and sorted(rows(settled)) == sorted(rows(table))
     path = settled.inputFiles()[0]
     assert shared_folder(spark).removeprefix("file:") in path
-    assert settle_unless_empty(table.where("id > 5")) is None
-    assert settle_unless_empty(table.where("id > 1")).count() == 1
+    for condition, count in (("id > 5", 0), ("id > 1", 1)):
+        settled, counted = settle_counting(table.where(condition))
+        assert counted == settled.count() == count
