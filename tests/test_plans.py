@@ -19,25 +19,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture
-def shuffled(spark):
-    """No broadcast joins, and a hot partition is one of a few kilobytes."""
-    changed = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {key: spark.conf.get(key, None) for key in changed}
-    for key, value in changed.items():
-        spark.conf.set(key, value)
-    yield
-    for key, value in before.items():
-        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 @pytest.mark.parametrize("name", queries())
 def test_no_python_no_cross_join(spark, name):
     if name in ("load_isolated", "full_refresh"):
