@@ -11,12 +11,12 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, GOLD, SILVER, TABLES
 from orestrata.operators.calendar import dim_date, dim_date_spanning
-from orestrata.operators.expectations import FAIL, VIOLATIONS
+from orestrata.operators.expectations import FAIL, QUARANTINE, VIOLATIONS, Enforced
 from orestrata.plans.bronze import bronze_row_counts, load_bronze
 from orestrata.plans.gold import (
     build_dimension,
@@ -70,29 +70,34 @@ def build_silver(
     """Store all silver tables, and under ``<table>_rejects`` what was set aside.
 
     Under the policy ``fail`` every table is checked before any is written.
-    Violations are counted while a table is being stored; only where there are
-    any are its rows gone through again for the rejects.
+    Under ``quarantine`` the rows are gone through again, for the report and
+    the rejects, only where fewer were stored than there are: both counts come
+    from file footers and at most the key column.
     """
     spark = next(iter(bronze.values())).sparkSession
     conformed = conform_tables(bronze, TABLES, policy)
 
-    def stored(table: str) -> tuple[DataFrame, list[tuple[str, str, int]]]:
-        each, seen = conformed[table], Observation()
-        df = layers.write(each.good_counting(seen), SILVER, table)
-        counts = each.counted(seen)
-        if policy != FAIL:
-            clean = not any(count for *_, count in counts)
+    def clean(each: Enforced, stored: DataFrame) -> bool:
+        return policy == FAIL or (policy == QUARANTINE and stored.count() == each.rows.count())
+
+    def store(table: str) -> tuple[DataFrame, list[tuple[str, str, int]]]:
+        each = conformed[table]
+        stored = layers.write(each.good, SILVER, table)
+        if clean(each, stored):
+            counts = [(table, expectation.name, 0) for expectation in each.expectations]
+            rejects = spark.createDataFrame([], each.rejects.schema)
+        else:
+            counts = [tuple(row) for row in each.report.collect()]
             rejects = each.rejects
-            if clean:
-                rejects = spark.createDataFrame([], rejects.schema)
+        if policy != FAIL:
             layers.write(rejects, SILVER, f"{table}{REJECTS}")
-        return df, counts
+        return stored, counts
 
-    done = overlap({table: partial(stored, table) for table in TABLES})
+    done = overlap({table: partial(store, table) for table in TABLES})
     violations = spark.createDataFrame(
         [count for _, counts in done.values() for count in counts], VIOLATIONS
     )
-    return {table: df for table, (df, _) in done.items()}, violations
+    return {table: stored for table, (stored, _) in done.items()}, violations
 
 
 def build_gold(

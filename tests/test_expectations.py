@@ -4,7 +4,6 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from orestrata.functions.rules import trim
@@ -124,13 +123,6 @@ def test_conform(frame):
     assert result.good.count() + result.rejects.count() == len(RAW) - 1
 
 
-def test_violations_are_counted_in_passing(frame):
-    result = conform(frame(RAW, SCHEMA), CONTRACT, QUARANTINE)
-    seen = Observation()
-    assert sorted(rows(result.good_counting(seen))) == sorted(rows(result.good))
-    assert result.counted(seen) == rows(result.report)
-
-
 def test_conform_fails_as_a_whole(frame):
     with pytest.raises(ConstraintViolation, match="PK_T: 3"):
         conform(frame(RAW, SCHEMA), CONTRACT, FAIL)

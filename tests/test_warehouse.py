@@ -158,3 +158,11 @@ def test_catalog_build_can_be_queried(spark, bronze, tmp_path):
     assert revenue.count() > 1
     dates = spark.table("shop_gold.DimProduct").agg(F.max("StartDate"), F.max("EndDate")).first()
     assert dates[0].year >= 2024 and dates[1] is None
+
+
+def test_warn_stores_all_rows_and_lists_the_offending(spark, bronze, tmp_path):
+    layers = PathLayers(spark, str(tmp_path))
+    silver, violations = build_silver(bronze, layers, "warn")
+    assert silver["SalesOrderHeader"].count() == 1500
+    assert {row[1]: row[2] for row in rows(violations) if row[2]} == VIOLATIONS
+    assert layers.read(SILVER, f"SalesOrderHeader{REJECTS}").count() == 31
