@@ -10,7 +10,9 @@ which follow from the sizes alone, keep the product small without losing a link:
   a shared column must still be long enough on both sides. Only these entries are multiplied.
 * each row carries a parity sketch: 1024 bits, every shingle flips one. Two sketches differ in at most as
   many bits as the sets differ in shingles, so a pair whose sketches differ in more bits than its sizes allow is dropped.
-* what is left is counted exactly, on the whole rows.
+* what is left is counted exactly, on the whole rows. Pairs within a component that is known already are not
+  formed: each row first tries one likely partner, so a group of near copies costs as many
+  products as it has members, and only then the pairs between components.
 
 The order of the columns decides only the cost, never the result. It comes from shingles which
 are frequent in some input split, of all splits; the most frequent million are told apart.
@@ -39,6 +41,8 @@ ORDERED_SHINGLES = 1_000_000
 SPLIT_FREQUENCY = 4
 #: The longest list of candidate sets sent to every task, 8 bytes each.
 BROADCAST_SETS = 2_000_000
+#: The longest list of shared columns sent to every task, 8 bytes each; longer ones are joined.
+BROADCAST_COLUMNS = 4_000_000
 SKETCH_BITS = 1024
 
 _SIGN = 1 << 63
@@ -135,30 +139,85 @@ def document_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     return _texts(docs).mapInArrow(rows, "doc_id long, n int, set_id long, sketch array<long>, prefix array<long>")
 
 
-def candidate_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b, need) of sets which the bounds do not rule out; need is the overlap of a link."""
-    entries = classes.select("set_id", "n", F.posexplode("prefix").alias("pos", "shingle")).select(
-        "shingle", "set_id", "n", (F.col("n") - F.col("pos")).alias("rest")
+def _entries(classes: DataFrame) -> DataFrame:
+    """Cells of the prefixes whose column has two rows at least: shingle, set_id, n, rest, f0 to f3.
+
+    ``rest`` counts the row's cells from this one on; f0 to f3 are the sketch folded to 256 bits.
+    """
+    fold = [F.expr(" ^ ".join(f"sketch[{k + 4 * i}]" for i in range(SKETCH_BITS // 256))).alias(f"f{k}") for k in range(4)]
+    cells = classes.select("set_id", "n", *fold, F.posexplode("prefix").alias("pos", "shingle")).select(
+        "shingle", "set_id", "n", (F.col("n") - F.col("pos")).alias("rest"), "f0", "f1", "f2", "f3"
     )
-    a = entries.select(*(F.col(c).alias(f"{c}_a") for c in entries.columns))
-    b = entries.select(*(F.col(c).alias(f"{c}_b") for c in entries.columns))
-    need = f"((n_a + n_b) * {num}L + {num + den - 1}L) div {num + den}L"
-    pairs = (
-        a.join(
-            b,
-            F.expr(
-                f"shingle_a = shingle_b AND (n_a < n_b OR n_a = n_b AND set_id_a < set_id_b) AND n_b * {num}L <= n_a * {den}L"
-                f" AND least(rest_a, rest_b) * {num + den}L >= (n_a + n_b) * {num}L"
-            ),
-        )
-        .groupBy(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
-        .agg(F.first(F.expr(need)).alias("need"), F.first(F.expr("n_a + n_b")).alias("total"))
+    columns = classes.select(F.explode("prefix").alias("shingle")).groupBy("shingle").count().where("count > 1")
+    columns, count = settle_counting(columns.select("shingle"))
+    if count > BROADCAST_COLUMNS:
+        return settle(cells.join(columns, "shingle", "left_semi"))
+    shared = classes.sparkSession.sparkContext.broadcast(np.sort(columns.toArrow()["shingle"].to_numpy()))
+
+    @F.arrow_udf("boolean")
+    def met(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            yield pa.array(find(shared.value, part.to_numpy(zero_copy_only=False))[1])
+
+    return settle(cells.where(met(F.col("shingle"))))
+
+
+def _bounded(num: int, den: int) -> str:
+    """What sizes, places and folded sketches of two cells of one column say against a link."""
+    differ = " + ".join(f"bit_count(f{k}_a ^ f{k}_b)" for k in range(4))
+    return (
+        f"n_b * {num}L <= n_a * {den}L AND n_a * {num}L <= n_b * {den}L"
+        f" AND least(rest_a, rest_b) * {num + den}L >= (n_a + n_b) * {num}L"
+        f" AND {differ} <= n_a + n_b - 2 * {_need(num, den)}"
+    )
+
+
+def _need(num: int, den: int) -> str:
+    """The overlap from which on two sets are linked."""
+    return f"(((n_a + n_b) * {num}L + {num + den - 1}L) div {num + den}L)"
+
+
+def _distinct_pairs(cells: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b, need, differ) of joined cells, once each, which the whole sketches do not rule out."""
+    pairs = cells.groupBy(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).agg(
+        F.first(F.expr(_need(num, den))).alias("need"), F.first(F.expr("n_a + n_b")).alias("total")
     )
     sketches = classes.select("set_id", "sketch")
     of_a = sketches.select(F.col("set_id").alias("a"), F.col("sketch").alias("sketch_a"))
     of_b = sketches.select(F.col("set_id").alias("b"), F.col("sketch").alias("sketch_b"))
     differ = " + ".join(f"bit_count(sketch_a[{k}] ^ sketch_b[{k}])" for k in range(SKETCH_BITS // 64))
-    return pairs.join(of_a, "a").join(of_b, "b").where(F.expr(f"{differ} <= total - 2 * need")).select("a", "b", "need")
+    met = pairs.join(of_a, "a").join(of_b, "b").withColumn("differ", F.expr(differ))
+    return met.where("differ <= total - 2 * need").select("a", "b", "need", "differ")
+
+
+def _named(cells: DataFrame, side: str) -> DataFrame:
+    return cells.select(*(F.col(c).alias(f"{c}_{side}") for c in cells.columns))
+
+
+def star_pairs(entries: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """For each set the likeliest link to the first set of one of its columns: at most one pair per set."""
+    row = F.struct(F.col("rest"), *(c for c in entries.columns if c not in ("shingle", "rest")))
+    first = entries.groupBy("shingle").agg(F.max(row).alias("row")).select("shingle", "row.*")
+    cells = _named(entries, "a").join(
+        _named(first, "b"), F.expr(f"shingle_a = shingle_b AND set_id_a <> set_id_b AND {_bounded(num, den)}")
+    )
+    pairs = _distinct_pairs(cells, classes, num, den)
+    best = pairs.groupBy("a").agg(F.min(F.struct("differ", "b", "need")).alias("best"))
+    return best.select("a", "best.b", "best.need")
+
+
+def cross_pairs(entries: DataFrame, labels: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs (a, b, need) of sets in different components which the bounds do not rule out."""
+    placed = settle(
+        entries.join(labels.select(F.col("vertex").alias("set_id"), "component"), "set_id", "left").withColumn(
+            "component", F.coalesce("component", "set_id")
+        )
+    )
+    cells = _named(placed, "a").join(
+        _named(placed, "b"),
+        F.expr(f"shingle_a = shingle_b AND component_a <> component_b AND set_id_a < set_id_b AND {_bounded(num, den)}"),
+    )
+    return _distinct_pairs(cells, classes, num, den).select("a", "b", "need")
 
 
 def _whole_sets(docs: DataFrame, size: int, wanted: DataFrame, count: int) -> DataFrame:
@@ -185,18 +244,19 @@ def _whole_sets(docs: DataFrame, size: int, wanted: DataFrame, count: int) -> Da
                 )
 
     found = _texts(docs).select("text").mapInArrow(rows, "set_id long, shingles array<long>")
-    return found.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.first("shingles").alias("shingles"))
+    once = found.groupBy("set_id").agg(F.first("shingles").alias("shingles"))
+    return once if shared else once.join(wanted, "set_id", "left_semi")
 
 
-def linked_pairs(docs: DataFrame, classes: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """All pairs (a, b) of distinct sets whose similarity is at least num / den."""
-    pairs = settle(candidate_pairs(classes, num, den))
+def linked(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """Those of ``pairs`` (a, b, need) whose overlap, counted exactly, is ``need`` or more."""
+    pairs = settle(pairs)
     ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
     wanted, count = settle_counting(ends)
     whole = settle(_whole_sets(docs, size, wanted, count))
     of_a = whole.select(F.col("set_id").alias("a"), F.col("shingles").alias("shingles_a"))
     of_b = whole.select(F.col("set_id").alias("b"), F.col("shingles").alias("shingles_b"))
-    return (
+    return settle(
         pairs.join(of_a, "a")
         .join(of_b, "b")
         .where(F.size(F.array_intersect("shingles_a", "shingles_b")) >= F.col("need"))
@@ -204,38 +264,39 @@ def linked_pairs(docs: DataFrame, classes: DataFrame, size: int, num: int, den:
     )
 
 
+def set_components(docs: DataFrame, classes: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """(vertex, component) of all sets with a link.
+
+    Stars first: every set tries one likely partner, which joins most of a group of near
+    copies with as many pairs as it has members. Then every pair is tried which the
+    bounds allow and whose sets are not in one component yet; nothing else could change the result.
+    """
+    entries = _entries(classes)
+    stars = linked(docs, star_pairs(entries, classes, num, den), size)
+    others = linked(docs, cross_pairs(entries, components(stars), classes, num, den), size)
+    return components(stars.union(others))
+
+
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable by links), n_links (of its set to other sets)."""
+    """doc_id, n_shingles, component_id (least doc_id reachable by links, its own included)."""
     sets = settle(document_sets(docs, size, num, den))
     classes = settle(
         sets.where("n > 0")
         .groupBy("set_id", "n")
         .agg(F.min("doc_id").alias("least_id"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
     )
-    links = settle(linked_pairs(docs, classes, size, num, den))
-    ends = links.select(F.col("a").alias("set_id")).union(links.select("b"))
-    degrees = ends.groupBy("set_id").agg(F.count(F.lit(1)).alias("n_links"))
-    members = components(links).select(F.col("vertex").alias("set_id"), "component")
-    named = members.join(classes.select("set_id", "least_id"), "set_id")
+    members = set_components(docs, classes, size, num, den).select(F.col("vertex").alias("set_id"), "component")
+    named = settle(members.join(classes.select("set_id", "least_id"), "set_id"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    linked = members.join(least, "component").join(degrees, "set_id").select("set_id", "component_id", "n_links")
     labels = settle(
         classes.select("set_id", "least_id")
-        .join(linked, "set_id", "left")
-        .select(
-            "set_id",
-            F.coalesce("component_id", "least_id").alias("component_id"),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        )
+        .join(named.join(least, "component").select("set_id", "component_id"), "set_id", "left")
+        .select("set_id", F.coalesce("component_id", "least_id").alias("component_id"))
     )
     filled = sets.select("doc_id", "n", "set_id").where("n > 0").join(labels, "set_id")
-    return filled.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links").unionByName(
-        sets.where("n = 0").select(
-            "doc_id",
-            F.lit(0).cast("long").alias("n_shingles"),
-            F.col("doc_id").alias("component_id"),
-            F.lit(0).cast("long").alias("n_links"),
-        )
+    count = F.col("n").cast("long").alias("n_shingles")
+    return filled.select("doc_id", count, "component_id").unionByName(
+        sets.where("n = 0").select("doc_id", count, F.col("doc_id").alias("component_id"))
     )
 
 
