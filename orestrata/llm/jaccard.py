@@ -8,8 +8,9 @@ which follow from the sizes alone, keep the product small without losing a link:
 * one order of columns holds for all rows, common columns last. Two linked rows must share a
   column among the first ``n - ceil(num * n / den) + 1`` of each, and the rest behind
   a shared column must still be long enough on both sides. Only these entries are multiplied.
-* each row carries a parity sketch: 1024 bits, every shingle flips one. Two sketches differ in at most as
-  many bits as the sets differ in shingles, so a pair whose sketches differ in more bits than its sizes allow is dropped.
+* each row carries a parity sketch, a power of two of bits and at least one per shingle; every shingle flips one. Two
+  sketches differ in at most as many bits as the sets differ in shingles, so a pair whose sketches differ in
+  more bits than its sizes allow is dropped. The longer of two sketches folds to the length of the shorter.
 * what is left is counted exactly, on the whole rows. Pairs within a component that is known already are not
   formed: each row first tries one likely partner, so a group of near copies costs as many
   products as it has members, and only then the pairs between components.
@@ -43,7 +44,9 @@ SPLIT_FREQUENCY = 4
 BROADCAST_SETS = 2_000_000
 #: The longest list of shared columns sent to every task, 8 bytes each; longer ones are joined.
 BROADCAST_COLUMNS = 4_000_000
+#: Fewest bits of a sketch, and the bits of its fold which goes along with every cell.
 SKETCH_BITS = 1024
+FOLD_BITS = 256
 
 _SIGN = 1 << 63
 
@@ -97,7 +100,7 @@ def _frequent(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n, set_id, sketch, prefix (its first columns)."""
+    """One row per row of ``docs``: doc_id, n, set_id, sketch, its fold, and prefix (its first columns)."""
     ranked = _frequent(docs, size)
     order = np.argsort(ranked)
     shared = docs.sparkSession.sparkContext.broadcast((ranked[order], order.astype(U64)))
@@ -120,23 +123,35 @@ def document_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(lengths)])
                 ids = np.zeros(len(counts), U64)
                 np.add.at(ids, owner, mix(values + U64(11)))
-                bits = np.bincount(
-                    owner * SKETCH_BITS + (mix(values + U64(7)) % U64(SKETCH_BITS)).astype(np.int64),
-                    minlength=len(counts) * SKETCH_BITS,
-                )
-                words = np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
+                sketch, cuts = _sketches(values, owner, counts)
+                fold = np.zeros((len(counts), FOLD_BITS // 64), np.int64)
+                long_owner = of_each(cuts)
+                at_fold = (np.arange(len(sketch)) - cuts[long_owner]) % (FOLD_BITS // 64)
+                np.bitwise_xor.at(fold, (long_owner, at_fold), sketch)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, len(part)),
                         pa.array(counts.astype(np.int32)),
                         pa.array(mix(ids + counts.astype(U64)).view(np.int64)),
-                        ragged(words, np.arange(len(counts) + 1) * (SKETCH_BITS // 64), pa.int64()),
+                        ragged(sketch, cuts, pa.int64()),
+                        ragged(fold.ravel(), np.arange(len(counts) + 1) * (FOLD_BITS // 64), pa.int64()),
                         ragged(prefix, ends, pa.int64()),
                     ],
-                    names=["doc_id", "n", "set_id", "sketch", "prefix"],
+                    names=["doc_id", "n", "set_id", "sketch", "fold", "prefix"],
                 )
 
-    return _texts(docs).mapInArrow(rows, "doc_id long, n int, set_id long, sketch array<long>, prefix array<long>")
+    return _texts(docs).mapInArrow(
+        rows, "doc_id long, n int, set_id long, sketch array<long>, fold array<long>, prefix array<long>"
+    )
+
+
+def _sketches(values: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketches as 64-bit words, one after the other, and where each begins."""
+    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(counts, 1))).astype(np.int64))
+    ends = np.concatenate([[0], np.cumsum(bits)])
+    at = ends[owner] + (mix(values + U64(7)) & (bits[owner] - 1).astype(U64)).astype(np.int64)
+    flipped = (np.bincount(at, minlength=ends[-1]) & 1).astype(np.uint8)
+    return np.packbits(flipped, bitorder="little").view(np.int64), ends // 64
 
 
 def _entries(classes: DataFrame) -> DataFrame:
@@ -144,7 +159,7 @@ def _entries(classes: DataFrame) -> DataFrame:
 
     ``rest`` counts the row's cells from this one on; f0 to f3 are the sketch folded to 256 bits.
     """
-    fold = [F.expr(" ^ ".join(f"sketch[{k + 4 * i}]" for i in range(SKETCH_BITS // 256))).alias(f"f{k}") for k in range(4)]
+    fold = [F.col("fold")[k].alias(f"f{k}") for k in range(FOLD_BITS // 64)]
     cells = classes.select("set_id", "n", *fold, F.posexplode("prefix").alias("pos", "shingle")).select(
         "shingle", "set_id", "n", (F.col("n") - F.col("pos")).alias("rest"), "f0", "f1", "f2", "f3"
     )
@@ -185,7 +200,13 @@ def _distinct_pairs(cells: DataFrame, classes: DataFrame, num: int, den: int) ->
     sketches = classes.select("set_id", "sketch")
     of_a = sketches.select(F.col("set_id").alias("a"), F.col("sketch").alias("sketch_a"))
     of_b = sketches.select(F.col("set_id").alias("b"), F.col("sketch").alias("sketch_b"))
-    differ = " + ".join(f"bit_count(sketch_a[{k}] ^ sketch_b[{k}])" for k in range(SKETCH_BITS // 64))
+    # Sizes of a pair differ by less than two times, and so do the lengths of its sketches.
+    short = "least(size(sketch_a), size(sketch_b))"
+    word = "if(size(sketch_{0}) = {1}, sketch_{0}[i], sketch_{0}[i] ^ sketch_{0}[i + {1}])"
+    differ = (
+        f"aggregate(sequence(0, {short} - 1), 0,"
+        f" (sum, i) -> sum + bit_count({word.format('a', short)} ^ {word.format('b', short)}))"
+    )
     met = pairs.join(of_a, "a").join(of_b, "b").withColumn("differ", F.expr(differ))
     return met.where("differ <= total - 2 * need").select("a", "b", "need", "differ")
 
@@ -278,12 +299,17 @@ def set_components(docs: DataFrame, classes: DataFrame, size: int, num: int, den
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable by links, its own included)."""
+    """doc_id, n_shingles, component_id (least doc_id reachable by links, its own included).
+
+    The similarity num / den is one half at least.
+    """
+    if not 0 < den <= 2 * num <= 2 * den:
+        raise ValueError("the similarity of a link is between 1/2 and 1")
     sets = settle(document_sets(docs, size, num, den))
     classes = settle(
         sets.where("n > 0")
         .groupBy("set_id", "n")
-        .agg(F.min("doc_id").alias("least_id"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
+        .agg(F.min("doc_id").alias("least_id"), *(F.first(c).alias(c) for c in ("sketch", "fold", "prefix")))
     )
     members = set_components(docs, classes, size, num, den).select(F.col("vertex").alias("set_id"), "component")
     named = settle(members.join(classes.select("set_id", "least_id"), "set_id"))
