@@ -102,6 +102,35 @@ def splitter(path: str) -> Splitter:
     return Splitter(path)
 
 
+class Encoder:
+    """Ids of whole texts in one task: a word is encoded when first met, at most ``REMEMBERED`` are kept."""
+
+    def __init__(self, path: str) -> None:
+        self._splitter = splitter(path)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._number: dict[str, int] = {}
+        self._ids, self._bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts and where each text's begin, the end last."""
+        if len(self._number) > REMEMBERED:
+            self._forget()
+        split, number = self._splitter.split, self._number
+        words = [split(text or "") for text in texts]
+        new = list({w for own in words for w in own} - number.keys())
+        if new:
+            ids, bounds = _joined([np.array(x, dtype="<u4").tobytes() for x in self._splitter.encode(new)])
+            number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
+            self._bounds = np.concatenate([self._bounds, self._bounds[-1] + bounds[1:]])
+            self._ids = np.concatenate([self._ids, ids])
+        counts = np.array([0, *map(len, words)], dtype=np.int64)
+        numbers = np.fromiter((k for own in words for k in map(number.__getitem__, own)), np.int64, int(counts.sum()))
+        ends = np.concatenate([[0], np.cumsum(np.diff(self._bounds)[numbers])])
+        return _gather(self._ids, self._bounds, numbers), ends[np.cumsum(counts)]
+
+
 def word_table(docs: DataFrame, path: str) -> DataFrame:
     """(word, n, ids): every distinct word of the texts, its occurrences, its ids (2 bytes each)."""
 

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestrata.llm import bpe, dedup, jaccard, mixing, toxicity
+from orestrata.llm import (
+    bpe,
+    dedup,
+    jaccard,
+    mixing,
+    packing,
+    pitman_yor,
+    pivots,
+    pseudonyms,
+    quality,
+    toxicity,
+)
 from orestrata.session import tune
 
 VOCABULARY = "word_bpe_49k.json"
@@ -37,6 +48,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -44,11 +63,29 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = packing.write(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return packing.read(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of a document is its host, and its language there its path."""
+    docs = _table(spark, sf_dir, "documents")
+    classifier = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    path = F.concat_ws("/", "source", "lang")
+    return quality.score(docs, classifier, F.col("source"), path)
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return jaccard.jaccard_components(docs, size=3, num=90, den=100)
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pitman_yor.score(docs, *pitman_yor.fit(docs))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
@@ -63,8 +100,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_bpe": op2_bpe,
+        "op3_pseudonyms": op3_pseudonyms,
+        "op4_pivots": op4_pivots,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_packing": op6_packing,
+        "op7_quality": op7_quality,
         "op8_ngram_jaccard": op8_ngram_jaccard,
+        "op9_pitman_yor": op9_pitman_yor,
         "op10_mixing": op10_mixing,
         "pipeline": pipeline,
     }
