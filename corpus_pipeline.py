@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from orestrata.llm import bpe, dedup, jaccard, mixing, toxicity
-from orestrata.session import tune
+from orestrata.llm.session import prepared
 from orestrata.sources.shared import settle
 
 VOCABULARY = "word_bpe_49k.json"
@@ -18,31 +18,31 @@ VOCABULARY = "word_bpe_49k.json"
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below one half."""
-    labels = tune(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    labels = prepared(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.fit(docs, labels))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    tune(spark)
+    prepared(spark)
     return dedup.drop_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by shingles of five words at a similarity of 0.8."""
-    tune(spark)
+    prepared(spark)
     return jaccard.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at equal weights, replicated and shuffled."""
-    tune(spark)
+    prepared(spark)
     return mixing.mixture(docs).drop("copy", "mix_key")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of them and of the decoded text."""
-    tune(spark)
+    prepared(spark)
     path = public_tokenizers.path(VOCABULARY)
     decoded = bpe.decode(bpe.encode(docs, path), path)
     return decoded.select("doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -33,7 +33,7 @@ from orestrata.sources.shared import settle
 #: The most frequent words sent to every task: some 20 MB, and 100 MB as the dictionary of a task.
 HEAD = 500_000
 #: Words a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 _ESCAPE = 0xFFFF
 #: Characters which normalisation only lower-cases and which the classes below sort rightly.

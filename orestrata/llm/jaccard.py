@@ -75,10 +75,10 @@ def _frequent(docs: DataFrame, size: int) -> np.ndarray:
         for batch in batches:
             for _, part in chunks(batch.column("text")):
                 pending.append(_sets(part, size)[0])
-                if sum(map(len, pending)) > 1_500_000:
+                if sum(map(len, pending)) > 500_000:
                     held, weight = merged()
                     pending = []
-                    if len(held) > 3_000_000:  # what was seen once so far makes room
+                    if len(held) > 1_500_000:  # what was seen once so far makes room
                         held, weight = held[weight > 1], weight[weight > 1]
         held, weight = merged()
         often = weight >= SPLIT_FREQUENCY

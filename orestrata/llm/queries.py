@@ -20,13 +20,13 @@ from orestrata.llm import (
     quality,
     toxicity,
 )
-from orestrata.session import tune
+from orestrata.llm.session import prepared
 
 VOCABULARY = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +93,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
-    return corpus_pipeline.run(tune(spark), sf_dir)
+    return corpus_pipeline.run(prepared(spark), sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,6 +1,6 @@
 """Words as 64-bit hashes, found in whole Arrow columns at once.
 
-Texts are cut into chunks of some two megabytes (a longer text is a chunk of its own), so
+Texts are cut into chunks of a megabyte (a longer text is a chunk of its own), so
 the arrays held at a time do not grow with the batch.
 """
 
@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 #: Bytes which part words: white space, or everything ASCII but letters.
 WHITE_SPACE = np.zeros(256, dtype=bool)
