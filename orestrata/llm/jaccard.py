@@ -46,7 +46,7 @@ BROADCAST_SETS = 2_000_000
 BROADCAST_COLUMNS = 4_000_000
 #: Fewest bits of a sketch, and the bits of its fold which goes along with every cell.
 SKETCH_BITS = 1024
-FOLD_BITS = 256
+FOLD_BITS = 512
 
 _SIGN = 1 << 63
 
@@ -155,13 +155,13 @@ def _sketches(values: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> tupl
 
 
 def _entries(classes: DataFrame) -> DataFrame:
-    """Cells of the prefixes whose column has two rows at least: shingle, set_id, n, rest, f0 to f3.
+    """Cells of the prefixes whose column has two rows at least: shingle, set_id, n, rest, and the fold f0, f1, ...
 
-    ``rest`` counts the row's cells from this one on; f0 to f3 are the sketch folded to 256 bits.
+    ``rest`` counts the row's cells from this one on; the fold is the sketch folded to ``FOLD_BITS``.
     """
     fold = [F.col("fold")[k].alias(f"f{k}") for k in range(FOLD_BITS // 64)]
     cells = classes.select("set_id", "n", *fold, F.posexplode("prefix").alias("pos", "shingle")).select(
-        "shingle", "set_id", "n", (F.col("n") - F.col("pos")).alias("rest"), "f0", "f1", "f2", "f3"
+        "shingle", "set_id", "n", (F.col("n") - F.col("pos")).alias("rest"), *(f"f{k}" for k in range(FOLD_BITS // 64))
     )
     columns = classes.select(F.explode("prefix").alias("shingle")).groupBy("shingle").count().where("count > 1")
     columns, count = settle_counting(columns.select("shingle"))
@@ -179,7 +179,7 @@ def _entries(classes: DataFrame) -> DataFrame:
 
 def _bounded(num: int, den: int) -> str:
     """What sizes, places and folded sketches of two cells of one column say against a link."""
-    differ = " + ".join(f"bit_count(f{k}_a ^ f{k}_b)" for k in range(4))
+    differ = " + ".join(f"bit_count(f{k}_a ^ f{k}_b)" for k in range(FOLD_BITS // 64))
     return (
         f"n_b * {num}L <= n_a * {den}L AND n_a * {num}L <= n_b * {den}L"
         f" AND least(rest_a, rest_b) * {num + den}L >= (n_a + n_b) * {num}L"
