@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ from orestrata.sources.shared import settle
 HEAD = 500_000
 #: Words a task remembers before it starts anew.
 REMEMBERED = 250_000
+#: Words whose ids a worker keeps from one task to the next, some 100 MB.
+KNOWN = 600_000
 
 _ESCAPE = 0xFFFF
 #: Characters which normalisation only lower-cases and which the classes below sort rightly.
@@ -81,8 +84,13 @@ class Splitter:
 
     def encode(self, words: list[str]) -> list[list[int]]:
         """Ids of each word."""
-        found = self._words.encode_batch_fast([w.lstrip("\0") for w in words], add_special_tokens=False)
-        return [self.special.get(w) or list(e.ids) for w, e in zip(words, found, strict=True)]
+        ids = [e.ids for e in self._words.encode_batch_fast(words, add_special_tokens=False)]
+        for k, word in enumerate(words):
+            if word in self.special:
+                ids[k] = self.special[word]
+            elif word[0] == "\0" and word[1:] in self.special:
+                ids[k] = self._words.encode(word[1:], add_special_tokens=False).ids
+        return ids
 
     def pieces(self) -> list[str]:
         """The piece of each id."""
@@ -103,7 +111,7 @@ def splitter(path: str) -> Splitter:
 
 
 class Encoder:
-    """Ids of whole texts in one task: a word is encoded when first met, at most ``REMEMBERED`` are kept."""
+    """Ids of whole texts: a word is encoded when a worker first meets it, some ``KNOWN`` are kept."""
 
     def __init__(self, path: str) -> None:
         self._splitter = splitter(path)
@@ -115,13 +123,15 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and where each text's begin, the end last."""
-        if len(self._number) > REMEMBERED:
+        if len(self._number) > KNOWN:
             self._forget()
         split, number = self._splitter.split, self._number
         words = [split(text or "") for text in texts]
         new = list({w for own in words for w in own} - number.keys())
         if new:
-            ids, bounds = _joined([np.array(x, dtype="<u4").tobytes() for x in self._splitter.encode(new)])
+            found = self._splitter.encode(new)
+            bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(bounds[-1]))
             number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
             self._bounds = np.concatenate([self._bounds, self._bounds[-1] + bounds[1:]])
             self._ids = np.concatenate([self._ids, ids])
@@ -131,6 +141,12 @@ class Encoder:
         return _gather(self._ids, self._bounds, numbers), ends[np.cumsum(counts)]
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One per worker process."""
+    return Encoder(path)
+
+
 def word_table(docs: DataFrame, path: str) -> DataFrame:
     """(word, n, ids): every distinct word of the texts, its occurrences, its ids (2 bytes each)."""
 

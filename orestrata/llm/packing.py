@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orestrata.llm.bpe import Encoder, splitter
+from orestrata.llm.bpe import encoder, splitter
 from orestrata.llm.text import chunks
 from orestrata.sources.shared import new_folder
 
@@ -87,12 +87,11 @@ def write(docs: DataFrame, path: str, folder: str | None = None, end_id: int = E
     width = width_of(splitter(path).whole.get_vocab_size())
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
         segment = TaskContext.get().partitionId()
         number = before = 0
         for batch in batches:
             for first, part in chunks(batch.column("text")):
-                ids, bounds = encoder.encode(part.to_pylist())
+                ids, bounds = encoder(path).encode(part.to_pylist())
                 # One more id behind each document.
                 ends = bounds[1:] + np.arange(1, len(part) + 1)
                 whole = np.full(len(ids) + len(part), end_id, dtype=np.uint32)
