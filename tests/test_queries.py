@@ -6,14 +6,18 @@ import pytest
 from conftest import MEDIUM, SMALL, rows
 
 import __spark_entry__
+from orestrata_checks import catalog, oracle
 from orestrata_checks.compare import connect, differences
 
-QUERIES = __spark_entry__.queries()
-SQL = __spark_entry__.oracle_sql()
+# Of the warehouse; queries on training data have tests of their own.
+QUERIES = catalog.queries()
+SQL = oracle.oracle_sql()
 
 
 def test_every_query_has_a_counterpart():
     assert list(QUERIES) == list(SQL)
+    assert QUERIES.keys() <= __spark_entry__.queries().keys()
+    assert SQL.keys() <= __spark_entry__.oracle_sql().keys()
 
 
 @pytest.fixture(scope="module")
