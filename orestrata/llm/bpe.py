@@ -44,6 +44,10 @@ _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ž]*")
 _PLAIN_WORD = re.compile(
     r"'(?:s|t|re|ve|m|ll|d)|[a-zªµºß-öø-ÿā-ž]+|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ÿā-ž0-9²³¹¼½¾]+"
 )
+#: The same for ASCII alone, where a class costs less.
+_ASCII_WORD = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9]+", re.ASCII)
+#: Words given to the tokenizer at a time.
+_AT_A_TIME = 2_000
 
 
 class Splitter:
@@ -78,19 +82,24 @@ class Splitter:
 
     def _plain(self, text: str) -> list[str]:
         if _PLAIN.fullmatch(text):
-            return _PLAIN_WORD.findall(text.lower())
+            return (_ASCII_WORD if text.isascii() else _PLAIN_WORD).findall(text.lower())
         pieces = self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(text))
         return [bytes(map(self._bytes.__getitem__, piece)).decode("utf-8", "surrogateescape") for piece, _ in pieces]
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word."""
-        ids = [e.ids for e in self._words.encode_batch_fast(words, add_special_tokens=False)]
-        for k, word in enumerate(words):
-            if word in self.special:
-                ids[k] = self.special[word]
-            elif word[0] == "\0" and word[1:] in self.special:
-                ids[k] = self._words.encode(word[1:], add_special_tokens=False).ids
-        return ids
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and where each word's begin, the end last."""
+        plain = ["" if w in self.special else w[1:] if w[0] == "\0" and w[1:] in self.special else w for w in words]
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        for first in range(0, len(plain), _AT_A_TIME):
+            part = plain[first : first + _AT_A_TIME]
+            found = self._words.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, dtype=np.uint32))
+            counts.append(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(part)))
+        bounds = np.cumsum(np.concatenate(counts))
+        own = [k for k, w in enumerate(words) if w in self.special]
+        numbers = [self.special[words[k]][0] for k in own]
+        whole = np.insert(np.concatenate(ids), bounds[own], numbers)
+        return whole, bounds + np.searchsorted(own, np.arange(len(bounds)))
 
     def pieces(self) -> list[str]:
         """The piece of each id."""
@@ -127,16 +136,15 @@ class Encoder:
             self._forget()
         split, number = self._splitter.split, self._number
         words = [split(text or "") for text in texts]
-        new = list({w for own in words for w in own} - number.keys())
+        # Not a difference of sets, which would go through all known words.
+        new = [w for w in set(chain.from_iterable(words)) if w not in number]
         if new:
-            found = self._splitter.encode(new)
-            bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
-            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(bounds[-1]))
+            ids, bounds = self._splitter.encode(new)
             number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
             self._bounds = np.concatenate([self._bounds, self._bounds[-1] + bounds[1:]])
             self._ids = np.concatenate([self._ids, ids])
         counts = np.array([0, *map(len, words)], dtype=np.int64)
-        numbers = np.fromiter((k for own in words for k in map(number.__getitem__, own)), np.int64, int(counts.sum()))
+        numbers = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
         ends = np.concatenate([[0], np.cumsum(np.diff(self._bounds)[numbers])])
         return _gather(self._ids, self._bounds, numbers), ends[np.cumsum(counts)]
 
@@ -171,8 +179,9 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = splitter(path).encode
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            ids = [np.array(x, dtype="<u4").tobytes() for x in encode(words)]
+            found, bounds = encode(batch.column("word").to_pylist())
+            packed, cuts = found.astype("<u4").tobytes(), (4 * bounds).tolist()
+            ids = [packed[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("n"), pa.array(ids, pa.binary())], names=["word", "n", "ids"]
             )
