@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from orestrata.operators.expectations import FAIL, POLICIES
+from orestrata.plans.contracts import CONTRACTS, wide_keys
 from orestrata.plans.warehouse import build_warehouse
 from orestrata.session import tune
 from orestrata.sources.layers import CatalogLayers, PathLayers
@@ -24,6 +25,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="start of validity")
     parser.add_argument("--calendar", nargs=2, metavar=("FIRST", "LAST"), help="days of DimDate")
     parser.add_argument("--fact-by-year", action="store_true")
+    parser.add_argument("--wide-keys", action="store_true", help="64-bit keys and references")
     parser.add_argument("--catalog", action="store_true", help="create catalog tables")
     return parser.parse_args()
 
@@ -40,9 +42,11 @@ def main() -> None:
         given.as_of,
         given.calendar,
         given.fact_by_year,
+        wide_keys() if given.wide_keys else CONTRACTS,
     )
     for part in (
         report.loads,
+        report.bronze_rows,
         report.profile,
         report.violations.where("Violations > 0"),
         report.silver_rows,

@@ -14,12 +14,13 @@ def optional_lookup(
     """Left join of ``child`` to the row of ``parent`` which its reference names, if any.
 
     NULL references match nothing, yet a shuffle would send all of them to one
-    task. They are hashed by ``spread_by``, a key of the child, instead; the
-    second condition keeps such a value from matching.
+    task. They are spread by a hash of ``spread_by``, a key of the child,
+    instead, which any type of reference can hold; the second condition keeps
+    such a value from matching.
     """
     parent = parent.withColumnRenamed(pk, _PK)
     reference = F.col(fk)
-    hashed = F.coalesce(reference, F.col(spread_by).cast(child.schema[fk].dataType))
+    hashed = F.coalesce(reference, F.hash(spread_by).cast(child.schema[fk].dataType))
     matches = (hashed == F.col(_PK)) & reference.isNotNull()
     return child.join(parent, matches, "left").drop(_PK)
 

@@ -5,7 +5,7 @@ Here the keys are cut into ranges of equal width, the rows of each range are
 counted, the counts are summed up over the ranges, and a row's number is the
 sum before its range plus its rank within the range. As keys are unique, a
 range never holds more rows than twice its width (the one around zero),
-however the keys are spread.
+however the keys are spread. A NULL key is refused, as it has no rank.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ def surrogate_key(df: DataFrame, key: str, name: str, width: int = WIDTH) -> Dat
     if bits is None:
         raise TypeError(f"{key} must be an integer column")
     most_ranges = (1 << bits) // width + 1
-    rows = df.withColumn(_RANGE, F.expr(f"`{key}` div {width}"))
+    missing = F.raise_error(f"{key} is NULL: a row without a key cannot be numbered")
+    known = F.when(F.col(key).isNull(), missing.cast("bigint")).otherwise(F.expr(f"`{key}` div {width}"))
+    rows = df.withColumn(_RANGE, known)
     counts = rows.groupBy(_RANGE).agg(F.count(F.lit(1)).alias(_ROWS))
     before = _rows_before(counts, width, most_ranges)
     if most_ranges <= MOST_RANGES_IN_ONE_TASK:

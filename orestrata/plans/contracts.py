@@ -6,6 +6,8 @@ fixed values: the gold layer and its readers rely on them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import functions as F
 
 from orestrata.fixed_values import (
@@ -24,6 +26,7 @@ from orestrata.functions.rules import (
     upper_trim,
 )
 from orestrata.functions.stored_types import (
+    BIGINT,
     BIT,
     DATE,
     DOCUMENT,
@@ -267,3 +270,11 @@ CONTRACTS = {
         CREDIT_CARD,
     )
 }
+
+
+def wide_keys(contracts: Mapping[str, Contract] = CONTRACTS) -> dict[str, Contract]:
+    """The same contracts with every 32-bit integer, keys and references alike, in 64 bits."""
+    return {
+        table: contract.retyped(**{each.name: BIGINT for each in contract.fields if each.type == INT})
+        for table, contract in contracts.items()
+    }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.fixed_values import TABLES
-from orestrata.operators.conform import conform
+from orestrata.operators.conform import Contract, conform
 from orestrata.operators.expectations import FAIL, Enforced
 from orestrata.operators.profiling import orphan_count
 from orestrata.operators.reconcile import reconcile
@@ -21,23 +21,25 @@ def conform_tables(
     bronze: Mapping[str, DataFrame],
     tables: Iterable[str] = TABLES,
     policy: str = FAIL,
+    contracts: Mapping[str, Contract] = CONTRACTS,
     parallelism: int = PARALLELISM,
 ) -> dict[str, Enforced]:
     """Conform several tables; none depends on another, so their jobs overlap."""
 
-
     def conformed(table: str) -> Enforced:
-        return conform(bronze[table], CONTRACTS[table], policy)
+        return conform(bronze[table], contracts[table], policy)
 
     return overlap({table: partial(conformed, table) for table in tables}, parallelism)
 
 
 def silver_tables(
-    bronze: Mapping[str, DataFrame], tables: Iterable[str] = TABLES, policy: str = FAIL
+    bronze: Mapping[str, DataFrame],
+    tables: Iterable[str] = TABLES,
+    policy: str = FAIL,
+    contracts: Mapping[str, Contract] = CONTRACTS,
 ) -> dict[str, DataFrame]:
-    return {
-        table: result.good for table, result in conform_tables(bronze, tables, policy).items()
-    }
+    conformed = conform_tables(bronze, tables, policy, contracts)
+    return {table: result.good for table, result in conformed.items()}
 
 
 def silver_row_counts(

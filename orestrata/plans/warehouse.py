@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, GOLD, SILVER, TABLES
 from orestrata.operators.calendar import dim_date, dim_date_spanning
+from orestrata.operators.conform import Contract
 from orestrata.operators.expectations import FAIL, QUARANTINE, VIOLATIONS, Enforced
 from orestrata.plans.bronze import bronze_row_counts, load_bronze
+from orestrata.plans.contracts import CONTRACTS
 from orestrata.plans.gold import (
     build_dimension,
     fact_join_loss,
@@ -65,7 +67,10 @@ def store_all(
 
 
 def build_silver(
-    bronze: Mapping[str, DataFrame], layers: Layers, policy: str = FAIL
+    bronze: Mapping[str, DataFrame],
+    layers: Layers,
+    policy: str = FAIL,
+    contracts: Mapping[str, Contract] = CONTRACTS,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Store all silver tables, and under ``<table>_rejects`` what was set aside.
 
@@ -75,7 +80,7 @@ def build_silver(
     from file footers and at most the key column.
     """
     spark = next(iter(bronze.values())).sparkSession
-    conformed = conform_tables(bronze, TABLES, policy)
+    conformed = conform_tables(bronze, TABLES, policy, contracts)
 
     def clean(each: Enforced, stored: DataFrame) -> bool:
         return policy == FAIL or (policy == QUARANTINE and stored.count() == each.rows.count())
@@ -138,15 +143,19 @@ def build_warehouse(
     as_of: datetime | None = None,
     calendar: tuple[date | str, date | str] | None = None,
     fact_by_year: bool = False,
+    contracts: Mapping[str, Contract] = CONTRACTS,
 ) -> BuildReport:
-    """Run every step. Repeating it replaces all tables and gives the same ones."""
+    """Run every step. Repeating it replaces all tables and gives the same ones.
+
+    ``contracts`` declare the silver tables; ``wide_keys()`` has 64-bit keys.
+    """
     layers.create()
     loads = load_bronze(spark, source, layers)
     failed = loads.where("Status <> 'loaded'").collect()
     if failed:
         raise LoadFailed("; ".join(f"{row.TableName}: {row.Error}" for row in failed))
     bronze = read_layer(layers, BRONZE, TABLES)
-    silver, violations = build_silver(bronze, layers, policy)
+    silver, violations = build_silver(bronze, layers, policy, contracts)
     gold = build_gold(silver, layers, as_of, calendar, fact_by_year)
     return BuildReport(
         loads=loads,

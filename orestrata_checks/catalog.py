@@ -22,7 +22,6 @@ from orestrata.operators.ingest import load_isolated
 from orestrata.operators.reconcile import sample
 from orestrata.plans import marts
 from orestrata.plans.bronze import bronze_row_counts, bronze_table, load_bronze
-from orestrata.plans.contracts import CONTRACTS
 from orestrata.plans.gold import (
     DIMENSION_KEYS,
     DIMENSION_TABLES,
@@ -46,6 +45,7 @@ from orestrata.sources.layers import PathLayers
 from orestrata.sources.overlap import overlap
 from orestrata.sources.shared import new_folder, settle
 from orestrata_checks.bindings import bound_table
+from orestrata_checks.contracts import BOUND
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,7 +78,7 @@ class Bronze(Mapping[str, DataFrame]):
 
 
 def silver(spark: SparkSession, sf_dir: str, tables: Iterable[str]) -> dict[str, DataFrame]:
-    return silver_tables(Bronze(spark, sf_dir), tables, QUARANTINE)
+    return silver_tables(Bronze(spark, sf_dir), tables, QUARANTINE, BOUND)
 
 
 # --- bronze -----------------------------------------------------------------
@@ -134,7 +134,7 @@ def silver_query(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def rejects_query(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Rejected rows; the failed constraints joined to one text."""
-    rejects = conform(Bronze(spark, sf_dir)[table], CONTRACTS[table], QUARANTINE).rejects
+    rejects = conform(Bronze(spark, sf_dir)[table], BOUND[table], QUARANTINE).rejects
     return rejects.withColumn(FAILED, F.array_join(FAILED, ","))
 
 
@@ -143,7 +143,7 @@ def violations(
 ) -> DataFrame:
     """Violations of the constraints whose name is like ``constraint``."""
     bronze = Bronze(spark, sf_dir)
-    reports = [each.report for each in conform_tables(bronze, tables, QUARANTINE).values()]
+    reports = [each.report for each in conform_tables(bronze, tables, QUARANTINE, BOUND).values()]
     return reduce(DataFrame.unionByName, reports).where(F.col("ConstraintName").like(constraint))
 
 
@@ -169,7 +169,7 @@ def validation_query(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sample_query(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return sample(silver_query(spark, sf_dir, table), CONTRACTS[table].key)
+    return sample(silver_query(spark, sf_dir, table), BOUND[table].key)
 
 
 # --- gold -------------------------------------------------------------------
@@ -196,24 +196,22 @@ def star(
     """Silver tables, stored dimensions and raw lines as the fact needs them.
 
     Dimensions which only filter and number the fact are stored as key maps,
-    those in ``described`` with their attributes. The raw lines are numbered
-    once and stored, as bronze is in a build. No step waits for another.
+    those in ``described`` with their attributes. No step waits for another.
     """
     bronze = Bronze(spark, sf_dir)
 
     def dimension(name: str) -> tuple[dict[str, DataFrame], DataFrame]:
         if name in described:
-            rows = silver_tables(bronze, DIMENSION_TABLES[name], QUARANTINE)
+            rows = silver_tables(bronze, DIMENSION_TABLES[name], QUARANTINE, BOUND)
             return rows, settle(build_dimension(name, rows, AS_OF))
-        rows = silver_tables(bronze, [DIMENSION_KEYS[name][2]], QUARANTINE)
+        rows = silver_tables(bronze, [DIMENSION_KEYS[name][2]], QUARANTINE, BOUND)
         return rows, settle(key_map(name, rows))
 
     def lines() -> tuple[dict[str, DataFrame], DataFrame]:
-        raw = settle(bronze["SalesOrderDetail"])
-        return silver_tables({"SalesOrderDetail": raw}, ["SalesOrderDetail"], QUARANTINE), raw
+        return silver_tables(bronze, ["SalesOrderDetail"], QUARANTINE, BOUND), bronze["SalesOrderDetail"]
 
     def orders() -> tuple[dict[str, DataFrame], None]:
-        return silver_tables(bronze, ["SalesOrderHeader"], QUARANTINE), None
+        return silver_tables(bronze, ["SalesOrderHeader"], QUARANTINE, BOUND), None
 
     names = [name for name in DIMENSION_KEYS if with_card or name != "DimCreditCard"]
     done = overlap(
@@ -276,7 +274,7 @@ def queries() -> dict[str, Query]:
         found[f"silver_{snake(table)}_rejects"] = partial(rejects_query, table=table)
 
     found["expect_unique_key"] = unique_key_query
-    required = [t for t, contract in CONTRACTS.items() if any(f.required for f in contract.fields)]
+    required = [t for t, contract in BOUND.items() if any(f.required for f in contract.fields)]
     found["expect_not_null"] = partial(violations, tables=required, constraint="NN%")
     for name, table, constraint in (
         ("due_after_order", "SalesOrderHeader", "CK%DueDate"),

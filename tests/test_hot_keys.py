@@ -16,11 +16,12 @@ from orestrata.plans.profile import profile_report
 from orestrata.plans.warehouse import REJECTS, build_gold, build_silver
 from orestrata_checks.catalog import AS_OF, snake
 from orestrata_checks.compare import differences
+from orestrata_checks.contracts import BOUND
 from orestrata_checks.oracle import oracle_sql, with_ctes
 
 
 def third(key, hot, otherwise):
-    return F.when(F.col(key) % 3 == 0, hot).otherwise(F.col(otherwise))
+    return F.when(F.crc32(F.col(key).cast("string")) % 3 == 0, hot).otherwise(F.col(otherwise))
 
 
 def heated(bronze):
@@ -32,7 +33,7 @@ def heated(bronze):
     tables["SalesOrderDetail"] = lines.withColumn("ProductID", third(line, 11, "ProductID"))
     orders = tables["SalesOrderHeader"]
     for column, hot in (("CustomerID", 6), ("ShipToAddressID", 7), ("CreditCardID", None)):
-        orders = orders.withColumn(column, third("SalesOrderID", F.lit(hot).cast("int"), column))
+        orders = orders.withColumn(column, third("SalesOrderID", F.lit(hot).cast("bigint"), column))
     tables["SalesOrderHeader"] = orders
     products = tables["Product"]
     times = F.explode(F.sequence(F.lit(1), F.lit(120)))
@@ -51,7 +52,7 @@ def test_hot_build_equals_sql(spark, bronze, shuffled, tmp_path):
         raw[table] = layers.write(df.repartition(8), BRONZE, table)
         files = layers.path(BRONZE, table) + "/*.parquet"
         database.execute(f"CREATE VIEW bronze_{snake(table)} AS SELECT * FROM '{files}'")
-    silver, _ = build_silver(raw, layers, "quarantine")
+    silver, _ = build_silver(raw, layers, "quarantine", BOUND)
     gold = build_gold(silver, layers, AS_OF)
     sql = oracle_sql(bound=False)
 

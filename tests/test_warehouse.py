@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orestrata import CatalogLayers, ConstraintViolation, FrameSource, PathLayers, build_warehouse
 from orestrata.fixed_values import DIMENSIONS, FACT, GOLD, SILVER, TABLES
 from orestrata.plans.warehouse import REJECTS, LoadFailed, build_gold, build_silver
+from orestrata_checks.contracts import BOUND
 
 AS_OF = datetime(2002, 1, 1)
 VIOLATIONS = {
@@ -23,7 +24,7 @@ VIOLATIONS = {
 @pytest.fixture(scope="module")
 def built(spark, bronze, tmp_path_factory):
     layers = PathLayers(spark, str(tmp_path_factory.mktemp("warehouse")))
-    report = build_warehouse(spark, bronze.source, layers, "quarantine", AS_OF)
+    report = build_warehouse(spark, bronze.source, layers, "quarantine", AS_OF, contracts=BOUND)
     return layers, report
 
 
@@ -114,7 +115,7 @@ def test_second_build_gives_the_same_tables(spark, bronze, built):
     names = [*DIMENSIONS, FACT]
     before = {name: sorted(map(str, rows(layers.read(GOLD, name)))) for name in names}
     spark.catalog.clearCache()
-    build_warehouse(spark, bronze.source, layers, "quarantine", AS_OF)
+    build_warehouse(spark, bronze.source, layers, "quarantine", AS_OF, contracts=BOUND)
     for name in names:
         assert sorted(map(str, rows(layers.read(GOLD, name)))) == before[name], name
 
@@ -122,7 +123,7 @@ def test_second_build_gives_the_same_tables(spark, bronze, built):
 def test_fail_writes_no_silver_table(spark, bronze, tmp_path):
     layers = PathLayers(spark, str(tmp_path))
     with pytest.raises(ConstraintViolation, match="SalesOrder"):
-        build_silver(bronze, layers, "fail")
+        build_silver(bronze, layers, "fail", BOUND)
     assert not os.path.exists(tmp_path / SILVER)
 
 
@@ -148,7 +149,12 @@ def test_fact_by_year(spark, built, tmp_path):
 def test_catalog_build_can_be_queried(spark, bronze, tmp_path):
     layers = CatalogLayers(spark, str(tmp_path), prefix="shop_")
     build_warehouse(
-        spark, bronze.source, layers, "quarantine", calendar=("1995-01-01", "2001-12-31")
+        spark,
+        bronze.source,
+        layers,
+        "quarantine",
+        calendar=("1995-01-01", "2001-12-31"),
+        contracts=BOUND,
     )
     assert spark.table("shop_gold.DimDate").count() == 2557
     revenue = spark.sql(
@@ -162,7 +168,7 @@ def test_catalog_build_can_be_queried(spark, bronze, tmp_path):
 
 def test_warn_stores_all_rows_and_lists_the_offending(spark, bronze, tmp_path):
     layers = PathLayers(spark, str(tmp_path))
-    silver, violations = build_silver(bronze, layers, "warn")
+    silver, violations = build_silver(bronze, layers, "warn", BOUND)
     assert silver["SalesOrderHeader"].count() == 1500
     assert {row[1]: row[2] for row in rows(violations) if row[2]} == VIOLATIONS
     assert layers.read(SILVER, f"SalesOrderHeader{REJECTS}").count() == 31
