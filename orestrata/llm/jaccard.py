@@ -47,6 +47,8 @@ BROADCAST_COLUMNS = 4_000_000
 #: Fewest bits of a sketch, and the bits of its fold which goes along with every cell.
 SKETCH_BITS = 1024
 FOLD_BITS = 512
+#: Columns ahead of a cell's own in which two rows may have met already.
+LOOK_BACK = 3
 
 _SIGN = 1 << 63
 
@@ -155,13 +157,16 @@ def _sketches(values: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> tupl
 
 
 def _entries(classes: DataFrame) -> DataFrame:
-    """Cells of the prefixes whose column has two rows at least: shingle, set_id, n, rest, and the fold f0, f1, ...
+    """Cells of the prefixes whose column has two rows at least: shingle, set_id, n, rest, before, and the fold f0, f1, ...
 
-    ``rest`` counts the row's cells from this one on; the fold is the sketch folded to ``FOLD_BITS``.
+    ``rest`` counts the row's cells from this one on, ``before`` holds the ``LOOK_BACK`` columns ahead of this one;
+    the fold is the sketch folded to ``FOLD_BITS``.
     """
-    fold = [F.col("fold")[k].alias(f"f{k}") for k in range(FOLD_BITS // 64)]
-    cells = classes.select("set_id", "n", *fold, F.posexplode("prefix").alias("pos", "shingle")).select(
-        "shingle", "set_id", "n", (F.col("n") - F.col("pos")).alias("rest"), *(f"f{k}" for k in range(FOLD_BITS // 64))
+    folds = [f"f{k}" for k in range(FOLD_BITS // 64)]
+    fold = [F.col("fold")[k].alias(f) for k, f in enumerate(folds)]
+    before = F.expr(f"slice(prefix, greatest(pos - {LOOK_BACK}, 0) + 1, least(pos, {LOOK_BACK}))").alias("before")
+    cells = classes.select("set_id", "n", *fold, "prefix", F.posexplode("prefix").alias("pos", "shingle")).select(
+        "shingle", "set_id", "n", (F.col("n") - F.col("pos")).alias("rest"), before, *folds
     )
     columns = classes.select(F.explode("prefix").alias("shingle")).groupBy("shingle").count().where("count > 1")
     columns, count = settle_counting(columns.select("shingle"))
@@ -217,6 +222,8 @@ def _named(cells: DataFrame, side: str) -> DataFrame:
 
 def star_pairs(entries: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """For each set the likeliest link to the first set of one of its columns: at most one pair per set."""
+    # Here a row meets one other row per column, so an earlier shared column need not have shown the same pair.
+    entries = entries.drop("before")
     row = F.struct(F.col("rest"), *(c for c in entries.columns if c not in ("shingle", "rest")))
     first = entries.groupBy("shingle").agg(F.max(row).alias("row")).select("shingle", "row.*")
     cells = _named(entries, "a").join(
@@ -228,7 +235,11 @@ def star_pairs(entries: DataFrame, classes: DataFrame, num: int, den: int) -> Da
 
 
 def cross_pairs(entries: DataFrame, labels: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """All pairs (a, b, need) of sets in different components which the bounds do not rule out."""
+    """All pairs (a, b, need) of sets in different components which the bounds do not rule out.
+
+    Two rows which share a column close ahead of this one have met there, under bounds no stricter: a pair
+    of near copies shares many columns and is not formed at each of them.
+    """
     placed = settle(
         entries.join(labels.select(F.col("vertex").alias("set_id"), "component"), "set_id", "left").withColumn(
             "component", F.coalesce("component", "set_id")
@@ -236,7 +247,10 @@ def cross_pairs(entries: DataFrame, labels: DataFrame, classes: DataFrame, num:
     )
     cells = _named(placed, "a").join(
         _named(placed, "b"),
-        F.expr(f"shingle_a = shingle_b AND component_a <> component_b AND set_id_a < set_id_b AND {_bounded(num, den)}"),
+        F.expr(
+            "shingle_a = shingle_b AND component_a <> component_b AND set_id_a < set_id_b"
+            f" AND {_bounded(num, den)} AND NOT arrays_overlap(before_a, before_b)"
+        ),
     )
     return _distinct_pairs(cells, classes, num, den).select("a", "b", "need")
 
