@@ -12,6 +12,7 @@ from orestrata.functions.rules import Rule, carry
 from orestrata.functions.stored_types import StoredType
 from orestrata.operators.expectations import (
     FAIL,
+    UNFIT,
     Enforced,
     Expectation,
     enforce,
@@ -20,6 +21,7 @@ from orestrata.operators.expectations import (
 
 _UNIQUE = "_unique"
 _FITS = "_fits_"
+_UNFIT_TYPE = "array<struct<Column:string,Value:string>>"
 
 
 @dataclass(frozen=True)
@@ -71,15 +73,21 @@ def cleanse(bronze: DataFrame, contract: Contract) -> DataFrame:
 
 
 def store(cleansed: DataFrame, contract: Contract, *helpers: str) -> DataFrame:
-    """Cast to the declared types, with a helper column per type that a value may not fit."""
-    outputs = []
+    """Cast to the declared types, with a helper column per type that a value may not fit.
+
+    Another one holds the name and text of each value which its type cannot hold.
+    """
+    outputs, unfit = [], []
     for each in contract.fields:
         value = F.col(f"`{each.name}`")
         outputs.append(each.type.store(value).alias(each.name))
         fits = each.type.fits(value, cleansed.schema[each.name].dataType)
         if fits is not None:
             outputs.append(fits.alias(_FITS + each.name))
-    return cleansed.select(*outputs, *helpers)
+            named = F.struct(F.lit(each.name).alias("Column"), value.cast("string").alias("Value"))
+            unfit.append(F.when(~fits, named))
+    unfit = F.array_compact(F.array(*unfit)) if unfit else F.array()
+    return cleansed.select(*outputs, unfit.cast(_UNFIT_TYPE).alias(UNFIT), *helpers)
 
 
 def type_expectations(stored: DataFrame, contract: Contract) -> list[Expectation]:
@@ -88,6 +96,7 @@ def type_expectations(stored: DataFrame, contract: Contract) -> list[Expectation
         Expectation(
             f"FIT_{contract.table}_{each.name}",
             F.col(_FITS + each.name) if _FITS + each.name in stored.columns else F.lit(True),
+            lossy=each.type.max_length is None,
         )
         for each in contract.fields
     ]

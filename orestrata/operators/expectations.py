@@ -8,18 +8,19 @@ the one constraint which needs more than the row itself, see ``unique_rows``.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orestrata.sources.shared import settle_counting
+from orestrata.sources.shared import settle, settle_counting
 
 FAIL, QUARANTINE, WARN = "fail", "quarantine", "warn"
 POLICIES = (FAIL, QUARANTINE, WARN)
 
 FAILED = "FailedConstraints"
+UNFIT = "UnfitValues"
 VIOLATIONS = "TableName string, ConstraintName string, Violations bigint"
 
 _ROWS, _LISTED = "_rows", "_listed"
@@ -31,8 +32,11 @@ class ConstraintViolation(Exception):
 
 @dataclass(frozen=True)
 class Expectation:
+    """A named condition; ``lossy`` if a row that does not meet it has lost a value by its storing."""
+
     name: str
     condition: Column
+    lossy: bool = False
 
     @property
     def met(self) -> Column:
@@ -60,7 +64,8 @@ def violation_report(df: DataFrame, table: str, expectations: Sequence[Expectati
 class Enforced:
     """Rows with the expectations on them, split as a policy says.
 
-    ``columns`` are those of the results; the rows may carry helper columns.
+    ``columns`` are those of the results; the rows may carry helper columns. Under ``warn`` a row
+    stays whatever it violates, unless one of its values could not be stored: it would be NULL in the table.
     """
 
     table: str
@@ -72,11 +77,17 @@ class Enforced:
     def _selected(self, df: DataFrame, *more: Column) -> DataFrame:
         return df.select(*[F.col(f"`{column}`") for column in self.columns], *more)
 
-    def _all_met(self) -> Column:
-        return reduce(lambda a, b: a & b, [each.met for each in self.expectations], F.lit(True))
+    def only(self, prefix: str) -> Enforced:
+        """The same rows under the expectations whose names begin so; nothing is computed for the others."""
+        chosen = [each for each in self.expectations if each.name.startswith(prefix)]
+        return replace(self, expectations=tuple(chosen))
+
+    def _all_met(self, lossy_only: bool = False) -> Column:
+        asked = [each.met for each in self.expectations if each.lossy or not lossy_only]
+        return reduce(lambda a, b: a & b, asked, F.lit(True))
 
     def _kept(self, df: DataFrame) -> DataFrame:
-        return self._selected(df.where(self._all_met()) if self.policy == QUARANTINE else df)
+        return self._selected(df if self.policy == FAIL else df.where(self._all_met(self.policy == WARN)))
 
     @property
     def good(self) -> DataFrame:
@@ -84,11 +95,12 @@ class Enforced:
 
     @property
     def rejects(self) -> DataFrame:
-        """Violating rows, with the names of the failed constraints in an array."""
+        """Violating rows, with the values that could not be stored and the names of the failed constraints."""
         failed = F.array_compact(
             F.array(*[F.when(~each.met, F.lit(each.name)) for each in self.expectations])
         )
-        return self._selected(self.rows.where(~self._all_met()), failed.alias(FAILED))
+        unfit = [F.col(UNFIT)] if UNFIT in self.rows.columns else []
+        return self._selected(self.rows.where(~self._all_met()), *unfit, failed.alias(FAILED))
 
     @property
     def report(self) -> DataFrame:
@@ -105,7 +117,7 @@ def enforce(
     """Apply row expectations.
 
     ``fail`` raises if any row violates one, ``quarantine`` splits the rows,
-    ``warn`` keeps all rows as good and lists the offending ones as well.
+    ``warn`` keeps all rows as good (but those which lost a value) and lists the offending ones as well.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
@@ -117,41 +129,50 @@ def enforce(
     return result
 
 
-def repeated_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int]:
-    """The non-NULL key values which occur more than once, settled, and their number.
+def _key_known(key: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"`{column}`").isNotNull() for column in key])
+
+
+def _repeated(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int]:
+    """The key values which occur more than once, settled, and their number.
 
     Reads the key columns only and exchanges one row per key value and task.
     """
-    keyed = df.select(*key)
-    for column in key:
-        keyed = keyed.where(F.col(column).isNotNull())
-    counted = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias(_ROWS))
+    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias(_ROWS))
     return settle_counting(counted.where(F.col(_ROWS) > 1).select(*key))
 
 
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int]:
+    """The non-NULL key values which occur more than once, settled, and their number."""
+    return _repeated(df.select(*key).where(_key_known(key)), key)
+
+
 def unique_rows(df: DataFrame, key: Sequence[str], distinct: bool, flag: str) -> DataFrame:
     """Make the key unique as far as that is possible without a choice.
 
-    With ``distinct``, exact copies of a row collapse into one. Rows which
-    still share their key are in conflict. The result is the rows with a
-    boolean column ``flag``, false for conflicting rows.
+    With ``distinct``, exact copies of a row collapse into one, those without a
+    key included. Rows which still share their key are in conflict; a NULL
+    shares nothing. The result is the rows with a boolean column ``flag``,
+    false for conflicting rows.
 
     Only the key columns are shuffled: most tables turn out to have no
     repeated key, and then the rows pass without any exchange. Where keys do
     repeat, just the rows holding them are compared as a whole, once. Copies
     collapse within each task first, and are spread by all their columns.
+    Where NULL repeats, such rows stay out of all joins by key.
     """
-    conflicts, count = repeated_keys(df, key)
-    if count and distinct:
-        apart = df.join(conflicts, list(key), "left_anti")
-        copies = df.join(conflicts, list(key), "left_semi").dropDuplicates()
-        copies, kept = settle_counting(copies)
-        df = apart.unionByName(copies)
-        if kept == count:  # one row per key is left
-            count = 0
-        else:
-            conflicts, count = repeated_keys(copies, key)
+    listed, count = _repeated(df.select(*key), key)
     if not count:
         return df.withColumn(flag, F.lit(True))
-    marked = df.join(conflicts.withColumn(_LISTED, F.lit(True)), list(key), "left")
-    return marked.withColumn(flag, F.col(_LISTED).isNull()).drop(_LISTED)
+    conflicts = listed.where(_key_known(key))
+    nulls = listed.where(~_key_known(key)).count()
+    keyed = df.where(_key_known(key)) if nulls else df
+    if not distinct:
+        marked = keyed.join(conflicts.withColumn(_LISTED, F.lit(True)), list(key), "left")
+        marked = marked.withColumn(flag, F.col(_LISTED).isNull()).drop(_LISTED)
+        return marked.unionByName(df.where(~_key_known(key)).withColumn(flag, F.lit(True))) if nulls else marked
+    apart = keyed.join(conflicts, list(key), "left_anti").withColumn(flag, F.lit(True))
+    copies = keyed.join(conflicts, list(key), "left_semi")
+    if nulls:
+        copies = copies.unionByName(df.where(~_key_known(key)))
+    return apart.unionByName(unique_rows(settle(copies.dropDuplicates()), key, False, flag))

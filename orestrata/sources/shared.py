@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_SETTING = Lock()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only in local mode where none is set."""
@@ -24,7 +27,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder which all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orestrata-"))
+    with _SETTING:  # independent tables are stored side by side
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orestrata-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, TABLES
 from orestrata.operators.calendar import dim_date_spanning
 from orestrata.operators.conform import conform
-from orestrata.operators.expectations import FAILED, QUARANTINE, Expectation, violation_report
+from orestrata.operators.expectations import FAILED, QUARANTINE, UNFIT, Expectation, violation_report
 from orestrata.operators.ingest import load_isolated
 from orestrata.operators.reconcile import sample
 from orestrata.plans import marts
@@ -135,16 +135,16 @@ def silver_query(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def rejects_query(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Rejected rows; the failed constraints joined to one text."""
     rejects = conform(Bronze(spark, sf_dir)[table], BOUND[table], QUARANTINE).rejects
-    return rejects.withColumn(FAILED, F.array_join(FAILED, ","))
+    return rejects.withColumn(FAILED, F.array_join(FAILED, ",")).drop(UNFIT)
 
 
 def violations(
     spark: SparkSession, sf_dir: str, tables: Iterable[str], constraint: str
 ) -> DataFrame:
-    """Violations of the constraints whose name is like ``constraint``."""
+    """Violations of the constraints whose name begins with ``constraint``."""
     bronze = Bronze(spark, sf_dir)
-    reports = [each.report for each in conform_tables(bronze, tables, QUARANTINE, BOUND).values()]
-    return reduce(DataFrame.unionByName, reports).where(F.col("ConstraintName").like(constraint))
+    asked = [each.only(constraint) for each in conform_tables(bronze, tables, QUARANTINE, BOUND).values()]
+    return reduce(DataFrame.unionByName, [each.report for each in asked if each.expectations])
 
 
 def unique_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +153,7 @@ def unique_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeated = days.groupBy("DateKey").agg(F.count(F.lit(1)).alias("_rows"))
     unique = Expectation("PK_DimDate", F.col("DateKey").isNotNull() & (F.col("_rows") == 1))
     calendar = violation_report(repeated, "DimDate", [unique])
-    return violations(spark, sf_dir, TABLES, "PK%").unionByName(calendar)
+    return violations(spark, sf_dir, TABLES, "PK_").unionByName(calendar)
 
 
 # --- validation -------------------------------------------------------------
@@ -275,15 +275,15 @@ def queries() -> dict[str, Query]:
 
     found["expect_unique_key"] = unique_key_query
     required = [t for t, contract in BOUND.items() if any(f.required for f in contract.fields)]
-    found["expect_not_null"] = partial(violations, tables=required, constraint="NN%")
+    found["expect_not_null"] = partial(violations, tables=required, constraint="NN_")
     for name, table, constraint in (
-        ("due_after_order", "SalesOrderHeader", "CK%DueDate"),
-        ("ship_after_order", "SalesOrderHeader", "CK%ShipDate"),
-        ("qty_positive", "SalesOrderDetail", "CK%OrderQty"),
-        ("unit_price_nonnegative", "SalesOrderDetail", "CK%UnitPrice"),
+        ("due_after_order", "SalesOrderHeader", "CK_SalesOrderHeader_DueDate"),
+        ("ship_after_order", "SalesOrderHeader", "CK_SalesOrderHeader_ShipDate"),
+        ("qty_positive", "SalesOrderDetail", "CK_SalesOrderDetail_OrderQty"),
+        ("unit_price_nonnegative", "SalesOrderDetail", "CK_SalesOrderDetail_UnitPrice"),
     ):
         found[f"expect_{name}"] = partial(violations, tables=[table], constraint=constraint)
-    found["expect_type_fit"] = partial(violations, tables=TABLES, constraint="FIT%")
+    found["expect_type_fit"] = partial(violations, tables=TABLES, constraint="FIT_")
 
     found["val_silver_row_counts"] = silver_counts_query
     for name in VALIDATIONS:

@@ -128,6 +128,29 @@ def test_conform_fails_as_a_whole(frame):
         conform(frame(RAW, SCHEMA), CONTRACT, FAIL)
 
 
+def test_values_that_do_not_fit_are_kept_for_the_reader(frame):
+    raw = frame(RAW, SCHEMA)
+    for policy in (QUARANTINE, WARN):
+        lost = rows(conform(raw, CONTRACT, policy).rejects.where("k = 3").select("qty", "UnfitValues"))
+        assert lost == [(None, [("qty", "70000")])]
+    kept = {row.k for row in conform(raw, CONTRACT, WARN).good.collect()}
+    assert kept == {None, 1, 2, 4, 5, 6}  # 3 would have lost its quantity
+
+
+def test_copies_without_a_key_collapse(frame):
+    df = frame([(None, "a")] * 3 + [(None, "b"), (1, "a"), (2, "a"), (2, "b")], "k int, v string")
+    found = rows(unique_rows(df, ["k"], True, "ok"))
+    assert sorted(found, key=str) == sorted(
+        [(None, "a", True), (None, "b", True), (1, "a", True), (2, "a", False), (2, "b", False)], key=str
+    )
+    assert len(rows(unique_rows(df, ["k"], False, "ok"))) == 7
+
+
+def test_only_what_is_asked_is_read(frame):
+    asked = conform(frame(RAW, SCHEMA), CONTRACT, QUARANTINE).only("NN_")
+    assert rows(asked.report) == [("T", "NN_T_cost", 1)]
+
+
 def test_copies_are_conflicts_where_rows_do_not_compare(frame):
     contract = Contract("T", "k", CONTRACT.fields[:2], distinct=False)
     raw = frame([(1, "a"), (1, "a"), (2, "b")], "k int, name string")

@@ -41,6 +41,11 @@ def heated(bronze):
     conflicts = products.where("ProductID = 12").limit(1).withColumn("n", times)
     conflicts = conflicts.withColumn("Name", F.concat("Name", F.col("n") % 2))
     tables["Product"] = products.unionByName(copies.drop("n")).unionByName(conflicts.drop("n"))
+    cards = tables["CreditCard"]
+    no_key = cards.where("CreditCardID = 13").limit(1).withColumn("n", times)
+    no_key = no_key.withColumn("CreditCardID", F.lit(None).cast("bigint"))
+    no_key = no_key.withColumn("CardType", F.concat("CardType", F.col("n") % 2))
+    tables["CreditCard"] = cards.unionByName(no_key.drop("n"))
     return tables
 
 
@@ -65,11 +70,14 @@ def test_hot_build_equals_sql(spark, bronze, shuffled, tmp_path):
     problems = {name: differences(df, database, sql[name]) for name, df in found.items()}
     assert {name: each for name, each in problems.items() if each} == {}
 
-    rejected = layers.read("silver", f"Product{REJECTS}")
-    rejects_sql = with_ctes("FROM rejects_product", bound=False)
-    joined = rejected.withColumn("FailedConstraints", F.array_join("FailedConstraints", ","))
-    assert differences(joined, database, rejects_sql) == []
-    assert rejected.count() >= 2 and silver["Product"].where("ProductID = 11").count() == 1
+    rejected = {}
+    for table in ("Product", "CreditCard"):
+        rejected[table] = layers.read("silver", f"{table}{REJECTS}").drop("UnfitValues")
+        joined = rejected[table].withColumn("FailedConstraints", F.array_join("FailedConstraints", ","))
+        rejects_sql = with_ctes(f"FROM rejects_{snake(table)}", bound=False)
+        assert differences(joined, database, rejects_sql) == []
+    assert rejected["Product"].count() >= 2 and silver["Product"].where("ProductID = 11").count() == 1
+    assert rejected["CreditCard"].where("CreditCardID IS NULL").count() == 2
 
     fact = fact_sales(silver, gold).agg(F.count("SalesDetailKey"), F.max("SalesChannel"))
     fact.collect()
