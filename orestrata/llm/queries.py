@@ -13,12 +13,14 @@ from orestrata.llm import (
     dedup,
     jaccard,
     mixing,
+    notices,
     packing,
     pitman_yor,
     pivots,
     pseudonyms,
     quality,
     toxicity,
+    whitening,
 )
 from orestrata.llm.session import prepared
 
@@ -90,6 +92,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op11_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notices.scan(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -108,6 +118,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_pitman_yor": op9_pitman_yor,
         "op10_mixing": op10_mixing,
+        "op11_notices": op11_notices,
+        "op13_whitening": op13_whitening,
         "pipeline": pipeline,
     }
 
