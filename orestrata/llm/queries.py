@@ -19,6 +19,7 @@ from orestrata.llm import (
     pivots,
     pseudonyms,
     quality,
+    spelling,
     toxicity,
     whitening,
 )
@@ -96,6 +97,10 @@ def op11_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notices.scan(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -119,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pitman_yor": op9_pitman_yor,
         "op10_mixing": op10_mixing,
         "op11_notices": op11_notices,
+        "op12_spelling": op12_spelling,
         "op13_whitening": op13_whitening,
         "pipeline": pipeline,
     }

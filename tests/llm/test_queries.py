@@ -11,7 +11,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_each_operator_has_one_query():
     names = [re.match(r"op(\d+)_", name) for name in __spark_entry__.queries()]
-    assert sorted(int(m[1]) for m in names if m) == list(range(1, 11))
+    assert sorted(int(m[1]) for m in names if m) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
     assert queries.oracle_sql().keys() <= queries.queries().keys()
 
