@@ -3,7 +3,10 @@
 A word is the vector of its letters' counts, followed by those of its first letters. One edit adds at most one
 letter and takes away at most one, in the word as in its beginning, so the L1 distance of either part is
 at most two. A node holds the box of its vectors; a search leaves out boxes which gain or lose too much.
-Counts are kept as bytes and stop at 255, which never makes a distance larger.
+
+Counts are in unary code, a bit for each letter and height: what a count exceeds another by is the number of bits
+it alone has, and the box of some vectors is the bits all have and the bits any has. Heights beyond ``HEIGHT`` are not
+coded, and accented letters only as present, which never makes a distance larger; letter order decides in the end.
 """
 
 from __future__ import annotations
@@ -13,11 +16,13 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: First letters counted apart, and letters of the alphabet: a to z and U+00C0 to U+00FF.
+#: First letters counted apart; unary heights of a to z in a word (four fit two numbers) and in its beginning.
 BEGINNING = 4
-LETTERS = 90
-#: Vectors of a leaf, and numbers in an intermediate array.
-LEAF = 16
+HEIGHT, HEIGHT_OF_BEGINNING = 4, 2
+#: Numbers of 64 bits for a word: counts of a to z (two), presence of U+00C0 to U+00FF, the beginning.
+NUMBERS = 4
+#: Vectors of a leaf, and elements in an intermediate array.
+LEAF = 32
 BLOCK = 2_000_000
 
 
@@ -34,54 +39,68 @@ _OF_BEGINNING = Reach(1, 1)
 
 
 def codes(words: list[str]) -> np.ndarray:
-    """Letter numbers of equally long words, one row per word."""
+    """Letter numbers of equally long words, one row per word: a to z from 0, U+00C0 to U+00FF from 26."""
     size = len(words[0]) if words else 0
     points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).reshape(len(words), size)
     return np.where(points < 0xC0, points - 0x61, points - 0xC0 + 26).astype(np.uint8)
 
 
 def _counts(letters: np.ndarray) -> np.ndarray:
-    flat = np.arange(len(letters))[:, None] * LETTERS + letters
-    counted = np.bincount(flat.ravel(), minlength=len(letters) * LETTERS)
-    return np.minimum(counted, 255).astype(np.uint8).reshape(len(letters), LETTERS)
+    flat = np.arange(len(letters))[:, None] * 90 + letters
+    return np.bincount(flat.ravel(), minlength=len(letters) * 90).reshape(len(letters), 90)
 
 
-def vectors(letters: np.ndarray) -> np.ndarray:
-    return np.concatenate([_counts(letters), _counts(letters[:, :BEGINNING])], axis=1)
+def _unary(counts: np.ndarray, heights: int) -> np.ndarray:
+    """One boolean per letter and height, height by height."""
+    return np.concatenate([counts > height for height in range(heights)], axis=1)
 
 
-def _above(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """By how much vectors exceed the bounds, in the whole word and in its beginning."""
-    over = np.maximum(values, bounds) - bounds
-    return over[..., :LETTERS].sum(axis=-1, dtype=np.int32), over[..., LETTERS:].sum(axis=-1, dtype=np.int32)
+def _packed(bits: np.ndarray, numbers: int) -> np.ndarray:
+    """Booleans of each row as so many 64-bit numbers."""
+    whole = np.zeros((len(bits), 64 * numbers), dtype=bool)
+    whole[:, : bits.shape[1]] = bits
+    return np.packbits(whole, axis=1, bitorder="little").view("<u8")
 
 
-def _below(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    under = bounds - np.minimum(values, bounds)
-    return under[..., :LETTERS].sum(axis=-1, dtype=np.int32), under[..., LETTERS:].sum(axis=-1, dtype=np.int32)
+def vectors(letters: np.ndarray) -> np.ndarray:
+    """The unary code of each word, ``NUMBERS`` numbers of 64 bits."""
+    whole, first = _counts(letters), _counts(letters[:, :BEGINNING])
+    accented = first[:, 26:].any(axis=1, keepdims=True)
+    return np.concatenate(
+        [
+            _packed(_unary(whole[:, :26], HEIGHT), 2),
+            _packed(whole[:, 26:] > 0, 1),
+            _packed(np.concatenate([_unary(first[:, :26], HEIGHT_OF_BEGINNING), accented], axis=1), 1),
+        ],
+        axis=1,
+    )
+
+
+def _lone(of: np.ndarray, not_in: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many bits one vector alone has, in the whole word and in its beginning."""
+    lone = np.bitwise_count(of & ~not_in)
+    return lone[..., 0] + lone[..., 1] + lone[..., 2], lone[..., 3]
 
 
 def within(values: np.ndarray, low: np.ndarray, high: np.ndarray, reach: Reach) -> np.ndarray:
     """Whether each vector can reach the box with one edit."""
-    lose, lose_first = _above(values, high)
-    gain, gain_first = _below(values, low)
+    lose, lose_first = _lone(values, high)
+    gain, gain_first = _lone(low, values)
     first = (lose_first <= _OF_BEGINNING.lose) & (gain_first <= _OF_BEGINNING.gain)
     return (lose <= reach.lose) & (gain <= reach.gain) & first
 
 
-def _split(values: np.ndarray) -> tuple[int, int] | None:
-    """(dimension, greatest count of the lower part) that halves the vectors best; None if all are equal."""
-    best, found = 0, None
-    half = len(values) // 2
-    for cut in range(int(values.max(initial=0))):
-        lower = (values <= cut).sum(axis=0)
-        smaller = np.minimum(lower, len(values) - lower)
-        dimension = int(smaller.argmax())
-        if smaller[dimension] > best:
-            best, found = int(smaller[dimension]), (dimension, cut)
-        if best >= half * 0.9 or not (lower < len(values)).any():
-            break
-    return found
+def _bits(values: np.ndarray, bit: int) -> np.ndarray:
+    return (values[:, bit // 64] >> np.uint64(bit % 64)) & np.uint64(1) > 0
+
+
+def _split(values: np.ndarray) -> int | None:
+    """The bit (a count above or below a height) that halves the vectors best; None if all are equal."""
+    bits = np.unpackbits(np.ascontiguousarray(values).view(np.uint8), axis=1, bitorder="little")
+    have = bits.sum(axis=0, dtype=np.int64)
+    smaller = np.minimum(have, len(values) - have)
+    bit = int(smaller.argmax())
+    return bit if smaller[bit] else None
 
 
 class Tree:
@@ -90,35 +109,32 @@ class Tree:
     def __init__(self, values: np.ndarray, leaf: int = LEAF, tight: bool = True):
         """Boxes are those of the vectors if ``tight``, else what the splits alone leave of the space."""
         self.boxes: list[tuple[np.ndarray, np.ndarray]] = []
-        self.split: list[tuple[int, int, int, int] | None] = []
+        self.split: list[list[int] | None] = []
         self.leaf_of: dict[int, int] = {}
         self.members: list[np.ndarray] = []
-        width = values.shape[1]
-        space = np.zeros(width, np.uint8), np.full(width, 255, np.uint8)
+        space = np.zeros(NUMBERS, np.uint64), np.full(NUMBERS, 2**64 - 1, np.uint64)
         todo = [(np.arange(len(values)), space, -1, 0)]
         while todo:
             rows, box, parent, side = todo.pop()
             own = values[rows]
             node = len(self.boxes)
-            self.boxes.append((own.min(axis=0), own.max(axis=0)) if tight and len(rows) else box)
+            if tight and len(rows):
+                box = np.bitwise_and.reduce(own, axis=0), np.bitwise_or.reduce(own, axis=0)
+            self.boxes.append(box)
             if parent >= 0:
-                dimension, cut, *children = self.split[parent]
-                children[side] = node
-                self.split[parent] = (dimension, cut, *children)
-            found = _split(own) if len(rows) > leaf else None
-            if found is None:
+                self.split[parent][side] = node
+            bit = _split(own) if len(rows) > leaf else None
+            if bit is None:
                 self.split.append(None)
                 self.leaf_of[node] = len(self.members)
                 self.members.append(rows if tight else np.zeros(0, np.int64))
                 continue
-            dimension, cut = found
-            self.split.append((dimension, cut, -1, -1))
-            lower = own[:, dimension] <= cut
-            low, high = box
-            high_below, low_above = high.copy(), low.copy()
-            high_below[dimension], low_above[dimension] = cut, cut + 1
-            todo.append((rows[lower], (low, high_below), node, 0))
-            todo.append((rows[~lower], (low_above, high), node, 1))
+            self.split.append([-1, -1, bit])
+            upper = _bits(own, bit)
+            mask = np.zeros(NUMBERS, np.uint64)
+            mask[bit // 64] = np.uint64(1) << np.uint64(bit % 64)
+            todo.append((rows[~upper], (box[0], box[1] & ~mask), node, 0))
+            todo.append((rows[upper], (box[0] | mask, box[1]), node, 1))
 
     def home(self, values: np.ndarray) -> np.ndarray:
         """The leaf of each vector."""
@@ -129,14 +145,14 @@ class Tree:
             if self.split[node] is None:
                 leaves[rows] = self.leaf_of[node]
                 continue
-            dimension, cut, left, right = self.split[node]
-            lower = values[rows, dimension] <= cut
-            todo += [(left, rows[lower]), (right, rows[~lower])]
+            left, right, bit = self.split[node]
+            upper = _bits(values[rows], bit)
+            todo += [(left, rows[~upper]), (right, rows[upper])]
         return leaves
 
     def reached(self, values: np.ndarray, reach: Reach) -> Iterator[tuple[int, np.ndarray]]:
         """(leaf, numbers of the vectors which can reach its box with one edit)."""
-        step = max(1, BLOCK // max(1, values.shape[1]))
+        step = BLOCK // NUMBERS
         for first in range(0, len(values), step):
             todo = [(0, np.arange(first, min(first + step, len(values))))]
             while todo:
@@ -147,7 +163,7 @@ class Tree:
                 if self.split[node] is None:
                     yield self.leaf_of[node], rows
                 else:
-                    todo += [(child, rows) for child in self.split[node][2:]]
+                    todo += [(child, rows) for child in self.split[node][:2]]
 
 
 def one_edit(longer: np.ndarray, shorter: np.ndarray) -> np.ndarray:
@@ -176,7 +192,7 @@ class Words:
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for leaf, rows in self.tree.reached(values, reach):
             members = self.tree.members[leaf]
-            step = max(1, BLOCK // (len(members) * values.shape[1]))
+            step = max(1, BLOCK // (len(members) * NUMBERS))
             for first in range(0, len(rows), step):
                 part = rows[first : first + step]
                 own = self.vectors[members][None, :, :]
