@@ -22,7 +22,7 @@ HEIGHT, HEIGHT_OF_BEGINNING = 4, 2
 #: Numbers of 64 bits for a word: counts of a to z (two), presence of U+00C0 to U+00FF, the beginning.
 NUMBERS = 4
 #: Vectors of a leaf, and elements in an intermediate array.
-LEAF = 32
+LEAF = 64
 BLOCK = 2_000_000
 
 
@@ -76,18 +76,40 @@ def vectors(letters: np.ndarray) -> np.ndarray:
     )
 
 
-def _lone(of: np.ndarray, not_in: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many bits one vector alone has, in the whole word and in its beginning."""
-    lone = np.bitwise_count(of & ~not_in)
-    return lone[..., 0] + lone[..., 1] + lone[..., 2], lone[..., 3]
+def _count(bits: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bits)
 
 
 def within(values: np.ndarray, low: np.ndarray, high: np.ndarray, reach: Reach) -> np.ndarray:
-    """Whether each vector can reach the box with one edit."""
-    lose, lose_first = _lone(values, high)
-    gain, gain_first = _lone(low, values)
-    first = (lose_first <= _OF_BEGINNING.lose) & (gain_first <= _OF_BEGINNING.gain)
-    return (lose <= reach.lose) & (gain <= reach.gain) & first
+    """Numbers of the vectors which can reach the box with one edit; each test is made of those left by the one before."""
+    rows = np.arange(len(values))
+    for many, few, first in ((reach.lose, _OF_BEGINNING.lose, True), (reach.gain, _OF_BEGINNING.gain, False)):
+        for numbers, most in (((0, 1, 2), many), ((3,), few)):
+            total = 0
+            for k in numbers:
+                own = values[rows, k]
+                total = total + (_count(own & ~high[k]) if first else _count(low[k] & ~own))
+            rows = rows[total <= most]
+    return rows
+
+
+def pairs_within(values: np.ndarray, others: np.ndarray, reach: Reach) -> tuple[np.ndarray, np.ndarray]:
+    """(number of a vector, number of another) of which one edit can make the one the other."""
+    lose = 0
+    for k in (0, 1, 2):
+        lose = lose + _count(values[:, k, None] & ~others[None, :, k])
+    a, b = np.nonzero(lose <= reach.lose)
+    for numbers, most, of, not_in in (
+        ((0, 1, 2), reach.gain, others, values),
+        ((3,), _OF_BEGINNING.lose, values, others),
+        ((3,), _OF_BEGINNING.gain, others, values),
+    ):
+        lone = 0
+        for k in numbers:
+            x, y = (of[a, k], not_in[b, k]) if of is values else (of[b, k], not_in[a, k])
+            lone = lone + _count(x & ~y)
+        a, b = a[lone <= most], b[lone <= most]
+    return a, b
 
 
 def _bits(values: np.ndarray, bit: int) -> np.ndarray:
@@ -195,8 +217,7 @@ class Words:
             step = max(1, BLOCK // (len(members) * NUMBERS))
             for first in range(0, len(rows), step):
                 part = rows[first : first + step]
-                own = self.vectors[members][None, :, :]
-                asked, at = np.nonzero(within(values[part][:, None, :], own, own, reach))
+                asked, at = pairs_within(values[part], self.vectors[members], reach)
                 asked, at = part[asked], members[at]
                 true = one_edit(letters[asked], self.letters[at])
                 found.append((asked[true], at[true]))

@@ -106,7 +106,7 @@ def test_boxes_prune_but_lose_nothing():
         assert len(met) < 0.7 * len(values) * len(tree.members)
         for k in range(0, 800, 40):
             for j in range(800):
-                if kdtree.within(values[k], values[j], values[j], kdtree.SAME_LENGTH):
+                if len(kdtree.within(values[k : k + 1], values[j], values[j], kdtree.SAME_LENGTH)):
                     assert (k, int(homes[j])) in met
     same = kdtree.Tree(np.tile(values[:1], (50, 1)), leaf=4)
     assert len(same.members) == 1 and len(same.members[0]) == 50
