@@ -1,8 +1,9 @@
 """K-d trees over letter counts, for words that differ by one edit.
 
-A word is the vector of its letters' counts, followed by those of its first letters. One edit adds at most one
-letter and takes away at most one, in the word as in its beginning, so the L1 distance of either part is
-at most two. A node holds the box of its vectors; a search leaves out boxes which gain or lose too much.
+A word is the vector of its letters' counts, followed by those of its first and of its last letters. One edit adds
+at most one letter and takes away at most one, so the L1 distance is at most two; and as it falls
+in the beginning or in the end or in neither, so is the distance of these two together. A node holds the
+box of its vectors; a search leaves out boxes which gain or lose too much.
 
 Counts are in unary code, a bit for each letter and height: what a count exceeds another by is the number of bits
 it alone has, and the box of some vectors is the bits all have and the bits any has. Heights beyond ``HEIGHT`` are not
@@ -16,13 +17,15 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: First letters counted apart; unary heights of a to z in a word (four fit two numbers) and in its beginning.
-BEGINNING = 4
-HEIGHT, HEIGHT_OF_BEGINNING = 4, 2
-#: Numbers of 64 bits for a word: counts of a to z (two), presence of U+00C0 to U+00FF, the beginning.
-NUMBERS = 4
+#: First and last letters counted apart (words are as long as both); unary heights of a to z in a word (four fit
+#: two numbers) and in its ends.
+BEGINNING, END = 4, 3
+HEIGHT, HEIGHT_OF_ENDS = 4, 2
+#: Numbers of 64 bits for a word: counts of a to z (two), presence of U+00C0 to U+00FF, the beginning, the end.
+NUMBERS = 5
+_WHOLE, _ENDS = (0, 1, 2), (3, 4)
 #: Vectors of a leaf, and elements in an intermediate array.
-LEAF = 64
+LEAF = 32
 BLOCK = 2_000_000
 
 
@@ -35,7 +38,7 @@ class Reach:
 
 
 SAME_LENGTH, ONE_SHORTER = Reach(1, 1), Reach(0, 1)
-_OF_BEGINNING = Reach(1, 1)
+_OF_ENDS = Reach(1, 1)
 
 
 def codes(words: list[str]) -> np.ndarray:
@@ -64,16 +67,12 @@ def _packed(bits: np.ndarray, numbers: int) -> np.ndarray:
 
 def vectors(letters: np.ndarray) -> np.ndarray:
     """The unary code of each word, ``NUMBERS`` numbers of 64 bits."""
-    whole, first = _counts(letters), _counts(letters[:, :BEGINNING])
-    accented = first[:, 26:].any(axis=1, keepdims=True)
-    return np.concatenate(
-        [
-            _packed(_unary(whole[:, :26], HEIGHT), 2),
-            _packed(whole[:, 26:] > 0, 1),
-            _packed(np.concatenate([_unary(first[:, :26], HEIGHT_OF_BEGINNING), accented], axis=1), 1),
-        ],
-        axis=1,
-    )
+    whole = _counts(letters)
+    parts = [_packed(_unary(whole[:, :26], HEIGHT), 2), _packed(whole[:, 26:] > 0, 1)]
+    for end in (_counts(letters[:, :BEGINNING]), _counts(letters[:, -END:])):
+        accented = end[:, 26:].any(axis=1, keepdims=True)
+        parts.append(_packed(np.concatenate([_unary(end[:, :26], HEIGHT_OF_ENDS), accented], axis=1), 1))
+    return np.concatenate(parts, axis=1)
 
 
 def _count(bits: np.ndarray) -> np.ndarray:
@@ -83,12 +82,12 @@ def _count(bits: np.ndarray) -> np.ndarray:
 def within(values: np.ndarray, low: np.ndarray, high: np.ndarray, reach: Reach) -> np.ndarray:
     """Numbers of the vectors which can reach the box with one edit; each test is made of those left by the one before."""
     rows = np.arange(len(values))
-    for many, few, first in ((reach.lose, _OF_BEGINNING.lose, True), (reach.gain, _OF_BEGINNING.gain, False)):
-        for numbers, most in (((0, 1, 2), many), ((3,), few)):
+    for numbers, limits in ((_ENDS, _OF_ENDS), (_WHOLE, reach)):
+        for lost, most in ((True, limits.lose), (False, limits.gain)):
             total = 0
             for k in numbers:
                 own = values[rows, k]
-                total = total + (_count(own & ~high[k]) if first else _count(low[k] & ~own))
+                total = total + (_count(own & ~high[k]) if lost else _count(low[k] & ~own))
             rows = rows[total <= most]
     return rows
 
@@ -96,13 +95,13 @@ def within(values: np.ndarray, low: np.ndarray, high: np.ndarray, reach: Reach)
 def pairs_within(values: np.ndarray, others: np.ndarray, reach: Reach) -> tuple[np.ndarray, np.ndarray]:
     """(number of a vector, number of another) of which one edit can make the one the other."""
     lose = 0
-    for k in (0, 1, 2):
+    for k in _ENDS:
         lose = lose + _count(values[:, k, None] & ~others[None, :, k])
-    a, b = np.nonzero(lose <= reach.lose)
+    a, b = np.nonzero(lose <= _OF_ENDS.lose)
     for numbers, most, of, not_in in (
-        ((0, 1, 2), reach.gain, others, values),
-        ((3,), _OF_BEGINNING.lose, values, others),
-        ((3,), _OF_BEGINNING.gain, others, values),
+        (_ENDS, _OF_ENDS.gain, others, values),
+        (_WHOLE, reach.lose, values, others),
+        (_WHOLE, reach.gain, others, values),
     ):
         lone = 0
         for k in numbers:

@@ -2,9 +2,10 @@
 
 Words are the runs of letters of all whole texts that are long and frequent enough. For each length a tree over a
 bounded sample of the words cuts the space of letter counts into boxes; it only decides how evenly the work is
-dealt. Every word belongs to one box, and is sent as a query to the boxes that one edit can reach: those of its own
-length and those of words a letter shorter. Within a box, a tree over all its words prunes the range
-search, and the order of letters settles what the counts leave open. So each pair is found, whatever the sample.
+dealt. Every word belongs to one box, and is sent as a query to the boxes that one edit can reach: of those of its
+own length to its own and later ones, as nearness is mutual, and to those of words a letter shorter. Within a box, a tree
+over all its words prunes the range search, and the order of letters settles what the counts
+leave open. So each pair is found, whatever the sample.
 The words of a box are held by one task, queries stream past them.
 
 A word's form is its most frequent near word if that is frequent enough; following forms ends at the root. As each
@@ -42,6 +43,8 @@ BOX_WORDS = 4_000
 #: Different words a task counts before it hands them on, and rows handed on at once.
 HELD = 200_000
 ROWS_OUT = 50_000
+#: Queries a box gathers before it searches: many at a time spare calls.
+ASKING = 30_000
 
 _PLAIN = bytes(b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
 _RUN = re.compile("[a-zÀ-ÿ]{%d,}" % LEAST_LETTERS)
@@ -99,7 +102,9 @@ def boxes(known: DataFrame, count: int, sample: int = SAMPLE, box_words: int = B
     }
 
 
-_DEALT = "size int, box int, asks boolean, word string, n long"
+#: Whether a row is a word of the box, or asks it: from within, so that both words of a pair do, or from elsewhere.
+_OWN, _WITHIN, _ELSEWHERE = 0, 1, 2
+_DEALT = "size int, box int, asks int, word string, n long"
 _PAIRS = "word string, near string, near_n long"
 
 
@@ -120,18 +125,21 @@ def _dealt(known: DataFrame, trees: dict[int, kdtree.Tree]) -> DataFrame:
                 values = kdtree.vectors(kdtree.codes([found[k] for k in rows]))
                 own, shorter = shared.value.get(size), shared.value.get(size - 1)
                 homes = own.home(values) if own else np.zeros(len(rows), np.int64)
-                parts = [(size, homes, False, rows)]
-                for at, tree, reach in ((size, own, kdtree.SAME_LENGTH), (size - 1, shorter, kdtree.ONE_SHORTER)):
-                    if at < LEAST_LETTERS:
-                        continue
-                    for box, asking in tree.reached(values, reach) if tree else [(0, np.arange(len(rows)))]:
-                        parts.append((at, np.full(len(asking), box), True, rows[asking]))
+                parts = [(size, homes, np.full(len(rows), _OWN), rows)]
+                everywhere = [(0, np.arange(len(rows)))]
+                for box, asking in own.reached(values, kdtree.SAME_LENGTH) if own else everywhere:
+                    asking = asking[homes[asking] <= box]
+                    asks = np.where(homes[asking] == box, _WITHIN, _ELSEWHERE)
+                    parts.append((size, np.full(len(asking), box), asks, rows[asking]))
+                if size > LEAST_LETTERS:
+                    for box, asking in shorter.reached(values, kdtree.ONE_SHORTER) if shorter else everywhere:
+                        parts.append((size - 1, np.full(len(asking), box), np.full(len(asking), _ELSEWHERE), rows[asking]))
                 order = pa.array(np.concatenate([part[3] for part in parts]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([np.full(len(part[3]), part[0], np.int32) for part in parts])),
                         pa.array(np.concatenate([part[1] for part in parts]).astype(np.int32)),
-                        pa.array(np.concatenate([np.full(len(part[3]), part[2]) for part in parts])),
+                        pa.array(np.concatenate([part[2] for part in parts]).astype(np.int32)),
                         batch.column("word").take(order),
                         batch.column("n").take(order),
                     ],
@@ -141,34 +149,63 @@ def _dealt(known: DataFrame, trees: dict[int, kdtree.Tree]) -> DataFrame:
     return known.mapInArrow(deal, _DEALT)
 
 
+class _Box:
+    """The words of a box, and queries until they are many enough for a search."""
+
+    def __init__(self) -> None:
+        self.words: list[str] = []
+        self.counts: list[np.ndarray] = []
+        self.tree: kdtree.Words | None = None
+        self.asking: list[str] = []
+        self.asking_counts: list[np.ndarray] = []
+        self.asking_from: list[np.ndarray] = []
+
+    def add(self, asks: int, found: list[str], counts: np.ndarray) -> None:
+        if asks == _OWN:
+            self.words += found
+            self.counts.append(counts)
+        elif self.words:
+            self.asking += found
+            self.asking_counts.append(counts)
+            self.asking_from.append(np.full(len(found), asks))
+
+    def search(self) -> Iterator[pa.RecordBatch]:
+        if not self.asking:
+            return
+        if self.tree is None:
+            self.tree, self.counts = kdtree.Words(self.words), [np.concatenate(self.counts)]
+        counts, asks = np.concatenate(self.asking_counts), np.concatenate(self.asking_from)
+        for size, rows in _by_size(self.asking):
+            asked, at = self.tree.near([self.asking[k] for k in rows])
+            asked = rows[asked]
+            both = asks[asked] == _ELSEWHERE
+            asker, own = pa.array(self.asking, pa.string()), pa.array(self.words, pa.string())
+            for words, near, near_n in (
+                (asker.take(pa.array(asked)), own.take(pa.array(at)), self.counts[0][at]),
+                (own.take(pa.array(at[both])), asker.take(pa.array(asked[both])), counts[asked[both]]),
+            ):
+                yield pa.RecordBatch.from_arrays([words, near, pa.array(near_n)], names=["word", "near", "near_n"])
+        self.asking, self.asking_counts, self.asking_from = [], [], []
+
+
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs one edit apart, from rows sorted by box, its own words first."""
-    box, own, own_n, tree = None, [], [], None
+    key, box = None, None
     for batch in batches:
-        keys = np.stack([batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("size", "box", "asks")])
+        columns = [batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("size", "box", "asks")]
+        keys = np.stack(columns)
         starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)]) if batch.num_rows else []
         for first, last in zip(starts, [*starts[1:], batch.num_rows]):
-            found = batch.column("word").slice(first, last - first).to_pylist()
-            counts = batch.column("n").slice(first, last - first).to_numpy()
-            if box != (here := (int(keys[0, first]), int(keys[1, first]))):
-                box, own, own_n, tree = here, [], [], None
-            if not keys[2, first]:
-                own += found
-                own_n.append(counts)
-                continue
-            if not own:
-                continue
-            if tree is None:
-                tree, own_n = kdtree.Words(own), [np.concatenate(own_n)]
-            for size, rows in _by_size(found):
-                asked, at = tree.near([found[k] for k in rows])
-                asked = rows[asked]
-                out = [(found[a], own[b], n) for a, b, n in zip(asked.tolist(), at.tolist(), own_n[0][at].tolist())]
-                if size > here[0]:  # words of one length ask each other, those a letter apart only one way
-                    out += [(own[b], found[a], n) for a, b, n in zip(asked.tolist(), at.tolist(), counts[asked].tolist())]
-                if out:
-                    columns = [pa.array(x) for x in zip(*out)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["word", "near", "near_n"])
+            if key != (here := (int(keys[0, first]), int(keys[1, first]))):
+                if box:
+                    yield from box.search()
+                key, box = here, _Box()
+            part = batch.slice(first, last - first)
+            box.add(int(keys[2, first]), part.column("word").to_pylist(), part.column("n").to_numpy())
+            if len(box.asking) >= ASKING:
+                yield from box.search()
+    if box:
+        yield from box.search()
 
 
 def near_pairs(known: DataFrame, trees: dict[int, kdtree.Tree]) -> DataFrame:
