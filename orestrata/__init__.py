@@ -8,7 +8,16 @@ from orestrata.operators.surrogate import surrogate_key
 from orestrata.plans.warehouse import build_gold, build_silver, build_warehouse
 from orestrata.session import local_session, tune
 from orestrata.sources.layers import CatalogLayers, PathLayers
-from orestrata.sources.readers import CatalogSource, FileSource, FrameSource, JdbcSource, JdbcSplit
+from orestrata.sources.numbered import Numbering, NumberedSource
+from orestrata.sources.readers import (
+    CatalogSource,
+    FileSource,
+    FrameSource,
+    JdbcRanges,
+    JdbcSource,
+    JdbcSplit,
+    UnsplitTable,
+)
 
 __all__ = [
     "CatalogLayers",
@@ -20,9 +29,13 @@ __all__ = [
     "Field",
     "FileSource",
     "FrameSource",
+    "JdbcRanges",
     "JdbcSource",
     "JdbcSplit",
+    "NumberedSource",
+    "Numbering",
     "PathLayers",
+    "UnsplitTable",
     "build_gold",
     "build_silver",
     "build_warehouse",

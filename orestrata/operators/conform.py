@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,14 +13,17 @@ from orestrata.functions.rules import Rule, carry
 from orestrata.functions.stored_types import StoredType
 from orestrata.operators.expectations import (
     FAIL,
+    QUARANTINE,
     UNFIT,
     Enforced,
     Expectation,
     enforce,
     unique_rows,
+    violation_report,
 )
 
 _UNIQUE = "_unique"
+_COPY = "_copy"
 _FITS = "_fits_"
 _UNFIT_TYPE = "array<struct<Column:string,Value:string>>"
 
@@ -46,11 +50,16 @@ class Contract:
     """
 
     table: str
-    key: str
+    key: str | tuple[str, ...]
     fields: tuple[Field, ...]
     distinct: bool = True
     checks: tuple[Check, ...] = field(default=())
 
+    @property
+    def keys(self) -> list[str]:
+        """The columns of the key, which may be several."""
+        return [self.key] if isinstance(self.key, str) else list(self.key)
+
     @property
     def columns(self) -> list[str]:
         return [each.name for each in self.fields]
@@ -97,6 +106,7 @@ def type_expectations(stored: DataFrame, contract: Contract) -> list[Expectation
             f"FIT_{contract.table}_{each.name}",
             F.col(_FITS + each.name) if _FITS + each.name in stored.columns else F.lit(True),
             lossy=each.type.max_length is None,
+            certain=_FITS + each.name not in stored.columns,
         )
         for each in contract.fields
     ]
@@ -115,7 +125,17 @@ def check_expectations(contract: Contract) -> list[Expectation]:
 
 
 def key_expectation(contract: Contract, unique: Column) -> Expectation:
-    return Expectation(f"PK_{contract.table}", F.col(contract.key).isNotNull() & unique)
+    known = reduce(lambda a, b: a & b, [F.col(f"`{column}`").isNotNull() for column in contract.keys])
+    return Expectation(f"PK_{contract.table}", known & unique)
+
+
+def row_expectations(stored: DataFrame, contract: Contract) -> list[Expectation]:
+    """All but that of the key: what a row meets or not by itself."""
+    return [
+        *type_expectations(stored, contract),
+        *required_expectations(contract),
+        *check_expectations(contract),
+    ]
 
 
 def conform(bronze: DataFrame, contract: Contract, policy: str = FAIL) -> Enforced:
@@ -125,13 +145,28 @@ def conform(bronze: DataFrame, contract: Contract, policy: str = FAIL) -> Enforc
     the scan. Looking for repeated keys runs a job on the key column before
     the result is planned; if there are none, no row is exchanged.
     """
-    rows = unique_rows(cleanse(bronze, contract), [contract.key], contract.distinct, _UNIQUE)
+    rows = unique_rows(cleanse(bronze, contract), contract.keys, contract.distinct, _UNIQUE)
     stored = store(rows, contract, _UNIQUE)
-    expectations = [
-        key_expectation(contract, F.col(_UNIQUE)),
-        *type_expectations(stored, contract),
-        *required_expectations(contract),
-        *check_expectations(contract),
-    ]
+    expectations = [key_expectation(contract, F.col(_UNIQUE)), *row_expectations(stored, contract)]
     return enforce(stored, expectations, policy, contract.table, contract.columns)
 
+
+def violations(bronze: DataFrame, contract: Contract, prefix: str = "") -> DataFrame:
+    """(TableName, ConstraintName, Violations) of the constraints whose names begin so.
+
+    If that of the key is not asked for, no key is looked at: rows that violate none are
+    filtered out by the scan's projection, and only the others are compared for copies.
+    """
+    if f"PK_{contract.table}".startswith(prefix):
+        return conform(bronze, contract, QUARANTINE).only(prefix).report
+    cleansed = cleanse(bronze, contract)
+    if contract.distinct:
+        cleansed = cleansed.withColumn(_COPY, F.struct(*[f"`{column}`" for column in contract.columns]))
+    stored = store(cleansed, contract, *([_COPY] if contract.distinct else []))
+    asked = [each for each in row_expectations(stored, contract) if each.name.startswith(prefix)]
+    met = reduce(lambda a, b: a & b, [each.met for each in asked], F.lit(True))
+    offending = stored.where(~met)
+    if contract.distinct:
+        offending = offending.dropDuplicates([_COPY])
+    return violation_report(offending, contract.table, asked)
+

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -56,6 +56,6 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def sample(df: DataFrame, key: str, rows: int = SAMPLE_ROWS) -> DataFrame:
+def sample(df: DataFrame, key: str | Sequence[str], rows: int = SAMPLE_ROWS) -> DataFrame:
     """The first rows by key: a look at the table which is the same each time."""
-    return df.orderBy(key).limit(rows)
+    return df.orderBy(*([key] if isinstance(key, str) else key)).limit(rows)

@@ -5,15 +5,21 @@ Here the keys are cut into ranges of equal width, the rows of each range are
 counted, the counts are summed up over the ranges, and a row's number is the
 sum before its range plus its rank within the range. As keys are unique, a
 range never holds more rows than twice its width (the one around zero),
-however the keys are spread. A NULL key is refused, as it has no rank.
+however the keys are spread. Keys of other types or of several columns have no
+widths; their ranges are sampled, see ``ranks``. A NULL key is refused, as it has no rank.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orestrata.operators.ranks import row_numbers
+
 WIDTH = 100_000
 MOST_RANGES_IN_ONE_TASK = 1 << 17
 
@@ -21,13 +27,24 @@ _RANGE, _OUTER, _ROWS, _BEFORE, _BASE = "_range", "_outer", "_rows", "_before",
 _BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
 
-def surrogate_key(df: DataFrame, key: str, name: str, width: int = WIDTH) -> DataFrame:
-    """Append ``name``: the 1-based rank of each row by its unique integer key."""
-    bits = _BITS.get(type(df.schema[key].dataType))
+def _missing(key: Sequence[str]) -> Column:
+    return F.raise_error(f"{', '.join(key)} is NULL: a row without a key cannot be numbered")
+
+
+def surrogate_key(df: DataFrame, key: str | Sequence[str], name: str, width: int = WIDTH) -> DataFrame:
+    """Append ``name``: the 1-based rank of each row by its unique key, of one or several columns.
+
+    ``width`` is that of the ranges of an integer key. Under any other key the rows are settled.
+    """
+    columns = [key] if isinstance(key, str) else list(key)
+    bits = _BITS.get(type(df.schema[columns[0]].dataType)) if len(columns) == 1 else None
     if bits is None:
-        raise TypeError(f"{key} must be an integer column")
+        known = reduce(lambda a, b: a & b, [F.col(f"`{column}`").isNotNull() for column in columns])
+        refused = F.when(known, F.lit(True)).otherwise(_missing(columns).cast("boolean"))
+        return row_numbers(df.where(refused), columns, name)
+    key = columns[0]
     most_ranges = (1 << bits) // width + 1
-    missing = F.raise_error(f"{key} is NULL: a row without a key cannot be numbered")
+    missing = _missing(columns)
     known = F.when(F.col(key).isNull(), missing.cast("bigint")).otherwise(F.expr(f"`{key}` div {width}"))
     rows = df.withColumn(_RANGE, known)
     counts = rows.groupBy(_RANGE).agg(F.count(F.lit(1)).alias(_ROWS))

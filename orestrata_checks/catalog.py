@@ -7,6 +7,7 @@ the seeded defects would otherwise stop each load.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime
 from functools import partial, reduce
@@ -14,9 +15,10 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, TABLES
+from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, GOLD, LAYERS, SILVER, TABLES
 from orestrata.operators.calendar import dim_date_spanning
 from orestrata.operators.conform import conform
+from orestrata.operators.conform import violations as constraint_violations
 from orestrata.operators.expectations import FAILED, QUARANTINE, UNFIT, Expectation, violation_report
 from orestrata.operators.ingest import load_isolated
 from orestrata.operators.reconcile import sample
@@ -36,15 +38,14 @@ from orestrata.plans.profile import PROFILES, profile_report
 from orestrata.plans.silver import (
     SAMPLED,
     VALIDATIONS,
-    conform_tables,
     silver_row_counts,
     silver_tables,
 )
 from orestrata.session import tune
-from orestrata.sources.layers import PathLayers
+from orestrata.sources.layers import CatalogLayers, PathLayers
 from orestrata.sources.overlap import overlap
 from orestrata.sources.shared import new_folder, settle
-from orestrata_checks.bindings import bound_table
+from orestrata_checks.bindings import GIVEN, bound_table
 from orestrata_checks.contracts import BOUND
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +115,23 @@ def full_refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_row_counts(spark, {table: layers.read(BRONZE, table) for table in TABLES})
 
 
+def create_layers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(LayerName, TableName, Rows) of the catalog after the given tables were stored in each layer, as the catalog has it."""
+    layers = CatalogLayers(tune(spark), new_folder(spark), prefix=f"layers_{uuid.uuid4().hex}_")
+    layers.create()
+    given = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in GIVEN}
+    staged = overlap({name: partial(layers.stage, df, BRONZE, name) for name, df in given.items()})
+    layers.commit(list(staged.values()))
+    layers.write(given["customer"], SILVER, "customer")
+    layers.write(given["nation"], GOLD, "nation")
+    parts = []
+    for layer in LAYERS:
+        for table in spark.catalog.listTables(layers.database(layer)):
+            rows = spark.table(f"`{layers.database(layer)}`.`{table.name}`").agg(F.count(F.lit(1)).alias("Rows"))
+            parts.append(rows.select(F.lit(layer).alias("LayerName"), F.lit(table.name).alias("TableName"), "Rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- profiling --------------------------------------------------------------
 
 
@@ -143,8 +161,10 @@ def violations(
 ) -> DataFrame:
     """Violations of the constraints whose name begins with ``constraint``."""
     bronze = Bronze(spark, sf_dir)
-    asked = [each.only(constraint) for each in conform_tables(bronze, tables, QUARANTINE, BOUND).values()]
-    return reduce(DataFrame.unionByName, [each.report for each in asked if each.expectations])
+    steps = {
+        table: partial(constraint_violations, bronze[table], BOUND[table], constraint) for table in tables
+    }
+    return reduce(DataFrame.unionByName, overlap(steps).values())
 
 
 def unique_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +189,7 @@ def validation_query(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sample_query(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return sample(silver_query(spark, sf_dir, table), BOUND[table].key)
+    return sample(silver_query(spark, sf_dir, table), BOUND[table].keys)
 
 
 # --- gold -------------------------------------------------------------------
@@ -261,6 +281,7 @@ def queries() -> dict[str, Query]:
     for table in TABLES:
         found[f"bronze_{snake(table)}"] = partial(bronze_query, table=table)
     found["bronze_row_counts"] = bronze_counts_query
+    found["create_layers"] = create_layers_query
     found["load_isolated"] = load_isolated_query
     found["full_refresh"] = full_refresh_query
 

@@ -1,9 +1,7 @@
-"""The contracts as the bound tables need them: 64-bit keys, and lines known by a digest."""
+"""The contracts as the bound tables need them: 64-bit keys."""
 
 from __future__ import annotations
 
-from orestrata.functions.stored_types import text
 from orestrata.plans.contracts import CONTRACTS, wide_keys
 
 BOUND = wide_keys(CONTRACTS)
-BOUND["SalesOrderDetail"] = BOUND["SalesOrderDetail"].retyped(SalesOrderDetailID=text(32))

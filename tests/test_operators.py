@@ -55,11 +55,6 @@ def test_surrogate_key_equals_row_number_at_size(spark):
     assert numbered.count() == 299_999 and differing == 0
 
 
-def test_surrogate_key_wants_integers(frame):
-    with pytest.raises(TypeError):
-        surrogate_key(frame([("a",)], "k string"), "k", "SK")
-
-
 def test_lookups(frame):
     child = frame([(1, 10), (2, None), (3, 99), (20, None)], "id int, fk int")
     parent = frame([(10, "x"), (20, "y"), (None, "z")], "pk int, name string")

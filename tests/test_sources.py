@@ -1,5 +1,7 @@
 """Readers, layers, isolated loads and settled results."""
 
+from datetime import datetime, timedelta
+
 import pytest
 from conftest import rows
 
@@ -8,9 +10,11 @@ from orestrata import (
     CatalogSource,
     FileSource,
     FrameSource,
+    JdbcRanges,
     JdbcSource,
     JdbcSplit,
     PathLayers,
+    UnsplitTable,
     ingest,
     load_isolated,
 )
@@ -79,6 +83,37 @@ def test_jdbc_options():
     assert source.options("Customer")["dbtable"] == "Customer"
 
 
+def test_unsplit_tables_are_refused(spark):
+    source = JdbcSource("jdbc:x:y", small=["SalesTerritory"])
+    with pytest.raises(UnsplitTable, match="Customer has no split"):
+        source(spark, "Customer")
+    with pytest.raises(Exception, match="(?i)driver|url"):  # only now is a database looked for
+        source(spark, "SalesTerritory")
+    split = JdbcSource("jdbc:x:y", splits={"Customer": JdbcRanges("CustomerID", (5,))})
+    with pytest.raises(Exception, match="(?i)driver|url"):
+        split(spark, "Customer")
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [(None if n % 9 == 0 else 7 if n % 3 == 0 else n * n,) for n in range(900)],
+        [(f"k'{n:04d}" if n % 3 else "hot",) for n in range(900)],
+        [(datetime(2000, 1, 1) + timedelta(hours=n * n % 5000),) for n in range(900)],
+    ],
+)
+def test_ranges_between_quantiles_hold_each_row_once(spark, values):
+    df = spark.createDataFrame(values, ["k"])
+    ranges = JdbcRanges.from_keys(df, "k", 8)
+    predicates = ranges.predicates()
+    assert 4 <= len(predicates) <= 8
+    counts = [df.where(each).count() for each in predicates]
+    assert sum(counts) == 900
+    alone = df.where("k IS NOT NULL").groupBy("k").count().agg({"count": "max"}).first()[0]
+    assert max(counts) <= alone + 3 * 900 / 8
+    assert JdbcRanges.from_keys(df.limit(0), "k", 8).predicates() == ["1 = 1"]
+
+
 @pytest.mark.parametrize("kind", ["catalog", "path"])
 def test_layers_replace_tables(spark, table, tmp_path, kind):
     layers = (
