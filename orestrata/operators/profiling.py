@@ -8,8 +8,9 @@ any other key.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +81,111 @@ def predicate_checks(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     return df.agg(*outputs).select(F.inline(F.array(*rows)))
 
 
+DUPLICATE, ORPHAN, DISTINCT, MATCHING = "duplicate", "orphan", "distinct", "matching"
+
+
+@dataclass(frozen=True)
+class TableCheck:
+    """One of many checks answered together by ``combined_report``.
+
+    ``key`` is what is counted in ``table``, and ``parent`` (table, key) what an ORPHAN refers to. A MATCHING check
+    counts the rows that fulfil ``predicate``, with the least ``example`` of them.
+    """
+
+    kind: str
+    table: str
+    label: str
+    anomaly: str
+    key: Column | None = None
+    parent: tuple[str, Column] | None = None
+    nullable: bool = False
+    predicate: Column | None = None
+    example: Column | None = None
+
+
+_ENTRY = "struct<check:int,parent:boolean,number:bigint,text:string,example:decimal(19,4)>"
+_INTEGERS = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _entry(
+    check: int, of_parent: bool, key: Column | None, integer: bool, example: Column | None, present: Column | None
+) -> Column:
+    """What one row says to one check, NULL if ``present`` does not hold."""
+    nothing = F.lit(None)
+    value = nothing if key is None else key
+    entry = F.struct(
+        F.lit(check).alias("check"),
+        F.lit(of_parent).alias("parent"),
+        (value if integer else nothing).cast("bigint").alias("number"),
+        (nothing if integer else value).cast("string").alias("text"),
+        (nothing if example is None else example).cast("decimal(19,4)").alias("example"),
+    ).cast(_ENTRY)
+    return entry if present is None else F.when(present, entry)
+
+
+def combined_report(tables: Mapping[str, DataFrame], checks: Sequence[TableCheck]) -> DataFrame:
+    """(Table, Anomaly_Type, Affected_Row_Count, Example_Messy_Value, Distinct_Raw_Count) of all checks.
+
+    Each table is scanned once, however many checks it takes part in. A row gives an entry (check, side, key)
+    for each of them; one aggregation, which reduces the entries to one per key and task before it
+    exchanges them, has all a check asks for: how often a key occurs, and whether its parent does. So there is no
+    join, and a hot key costs as much as any other.
+    """
+
+    def integer(table: str, key: Column) -> bool:
+        return tables[table].select(key.alias("key")).dtypes[0][1] in _INTEGERS
+
+    entries: dict[str, list[Column]] = {}
+    for number, check in enumerate(checks):
+        if check.kind == MATCHING:
+            entry = _entry(number, False, None, True, check.example, check.predicate)
+            entries.setdefault(check.table, []).append(entry)
+            continue
+        numeric = integer(check.table, check.key) and (check.parent is None or integer(*check.parent))
+        only_known = check.kind == DISTINCT or check.nullable
+        present = check.key.isNotNull() if only_known else None
+        entries.setdefault(check.table, []).append(_entry(number, False, check.key, numeric, None, present))
+        if check.parent:
+            table, key = check.parent
+            entries.setdefault(table, []).append(_entry(number, True, key, numeric, None, key.isNotNull()))
+    said = reduce(
+        DataFrame.unionByName,
+        [
+            tables[table].select(F.explode(F.array(*asked)).alias("entry")).where("entry IS NOT NULL").select("entry.*")
+            for table, asked in entries.items()
+        ],
+    )
+    keys = said.groupBy("check", "number", "text").agg(
+        F.count_if(~F.col("parent")).alias("rows"),
+        F.count_if("parent").alias("parents"),
+        F.min("example").alias("example"),
+    )
+    found = keys.groupBy("check").agg(
+        F.sum("rows").alias(MATCHING),
+        F.count_if(F.col("rows") > 1).alias(DUPLICATE),
+        F.sum(F.when(F.col("parents") == 0, F.col("rows"))).alias(ORPHAN),
+        F.count_if(F.col("rows") > 0).alias(DISTINCT),
+        F.min("example").alias("example"),
+    )
+    asked = tables[checks[0].table].sparkSession.createDataFrame(
+        [(number, each.label, each.anomaly, each.kind) for number, each in enumerate(checks)],
+        "check int, Table string, Anomaly_Type string, kind string",
+    )
+    affected = reduce(
+        lambda otherwise, kind: F.when(F.col("kind") == kind, F.coalesce(kind, F.lit(0))).otherwise(otherwise),
+        (MATCHING, DUPLICATE, ORPHAN),
+        F.lit(None).cast("bigint"),
+    )
+    different = F.when(F.col("kind") == DISTINCT, F.coalesce(DISTINCT, F.lit(0)))
+    return asked.join(F.broadcast(found), "check", "left").select(  # at most a row per check
+        "Table",
+        "Anomaly_Type",
+        affected.alias("Affected_Row_Count"),
+        F.col("example").alias("Example_Messy_Value"),
+        different.alias("Distinct_Raw_Count"),
+    )
+
+
 def distinct_count(
     df: DataFrame,
     column: str,

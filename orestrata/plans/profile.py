@@ -7,21 +7,25 @@ are fixed values.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.functions.keys import CASE_INSENSITIVE, comparable
 from orestrata.operators.profiling import (
-    RowCheck,
+    DISTINCT,
+    DUPLICATE,
+    MATCHING,
+    ORPHAN,
+    TableCheck,
+    combined_report,
     distinct_count,
     distinct_values,
     duplicate_keys,
     is_missing,
     orphan_check,
     predicate_check,
-    predicate_checks,
 )
 
 Bronze = Mapping[str, DataFrame]
@@ -312,23 +316,44 @@ PROFILES: dict[str, Profile] = {
 }
 
 
+# What is listed after the counts, for people to look at.
+LISTS = (
+    "missing_color_by_category",
+    "products_null_color",
+    "products_no_subcategory",
+    "colored_no_subcategory",
+    "color_values",
+    "country_values",
+)
+
+
+def table_checks() -> list[TableCheck]:
+    """All counting checks, to be answered together."""
+    checks = [
+        TableCheck(
+            MATCHING, table, label, anomaly, predicate=predicate(), example=None if example is None else F.col(example)
+        )
+        for table, label, anomaly, predicate, example in PREDICATES.values()
+    ]
+    checks += [
+        TableCheck(DUPLICATE, table, label, anomaly, F.col(key)) for table, label, anomaly, key in DUPLICATES.values()
+    ]
+    for child, label, anomaly, fk, parent, pk, nullable, collation in ORPHANS.values():
+        reference, key = (F.col(fk), F.col(pk)) if collation is None else (
+            comparable(F.col(fk), collation),
+            comparable(F.col(pk), collation),
+        )
+        checks.append(TableCheck(ORPHAN, child, label, anomaly, reference, (parent, key), nullable))
+    checks += [
+        TableCheck(DISTINCT, table, label, anomaly, comparable(F.col(column)))
+        for table, label, anomaly, column in DISTINCT_COUNTS.values()
+    ]
+    return checks
+
+
 def profile_report(bronze: Bronze) -> DataFrame:
-    """All counting checks as one relation.
+    """All counting checks as one relation: one scan of each table, one exchange of keys.
 
-    The predicate checks of a table share one scan of it. A check without an
-    example, or without a distinct count, leaves that column NULL.
+    A check without an example, or without a distinct count, leaves that column NULL.
     """
-    by_table: dict[str, list[RowCheck]] = {}
-    for table, label, anomaly, predicate, example in PREDICATES.values():
-        shown = None if example is None else F.col(example)
-        by_table.setdefault(table, []).append(RowCheck(label, anomaly, predicate(), shown))
-    parts = [predicate_checks(bronze[table], checks) for table, checks in by_table.items()]
-    parts += [PROFILES[name](bronze) for name in (*DUPLICATES, *ORPHANS, *DISTINCT_COUNTS)]
-    report = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
-    return report.select(
-        "Table",
-        "Anomaly_Type",
-        "Affected_Row_Count",
-        "Example_Messy_Value",
-        "Distinct_Raw_Count",
-    )
+    return combined_report(bronze, table_checks())
