@@ -48,8 +48,11 @@ def main() -> None:
         report.loads,
         report.bronze_rows,
         report.profile,
+        *report.findings.values(),
         report.violations.where("Violations > 0"),
         report.silver_rows,
+        report.integrity,
+        *report.samples.values(),
         report.gold_rows,
         report.join_loss,
     ):

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orestrata.sources.shared import settle, settle_counting
@@ -23,6 +23,10 @@ FAILED = "FailedConstraints"
 UNFIT = "UnfitValues"
 VIOLATIONS = "TableName string, ConstraintName string, Violations bigint"
 
+#: The column that says where a stored row belongs, and its values.
+PART = "_part"
+KEPT, REJECTED = "kept", "rejected"
+
 _ROWS, _LISTED = "_rows", "_listed"
 
 
@@ -32,11 +36,15 @@ class ConstraintViolation(Exception):
 
 @dataclass(frozen=True)
 class Expectation:
-    """A named condition; ``lossy`` if a row that does not meet it has lost a value by its storing."""
+    """A named condition; ``lossy`` if a row that does not meet it has lost a value by its storing.
+
+    ``certain`` if no row can fail to meet it.
+    """
 
     name: str
     condition: Column
     lossy: bool = False
+    certain: bool = False
 
     @property
     def met(self) -> Column:
@@ -106,6 +114,48 @@ class Enforced:
     def report(self) -> DataFrame:
         return violation_report(self.rows, self.table, self.expectations)
 
+    def laid_out(self) -> tuple[DataFrame, Observation]:
+        """All rows to be stored in one pass, and what that pass will have counted.
+
+        ``PART`` says whether a row is kept or rejected; under ``warn`` a row can be both, and is there twice. The
+        rows carry the columns of the rejects, which are empty for kept ones. Under ``fail`` all are
+        kept as they are. The observation has ``violations`` by the number of the
+        expectation, and the rows of either part.
+        """
+        doubtful = {n: each for n, each in enumerate(self.expectations) if not each.certain}
+        met = {f"_met{n}": each.met for n, each in doubtful.items()}
+        unfit = [UNFIT] if UNFIT in self.rows.columns else []
+        flagged = self.rows.select(
+            *[f"`{column}`" for column in (*self.columns, *unfit)], *[test.alias(name) for name, test in met.items()]
+        )
+        all_met = reduce(lambda a, b: a & b, [F.col(name) for name in met], F.lit(True))
+        stored = reduce(
+            lambda a, b: a & b, [F.col(f"_met{n}") for n, each in doubtful.items() if each.lossy], F.lit(True)
+        )
+        kept = {FAIL: F.lit(True), QUARANTINE: all_met, WARN: stored}[self.policy]
+        counts = [F.count_if(~F.col(f"_met{n}")).alias(f"violations{n}") for n in doubtful]
+        seen = Observation()
+        flagged = flagged.observe(
+            seen, F.count_if(kept).alias(KEPT), F.count_if(~all_met).alias(REJECTED), *counts
+        )
+        if self.policy == FAIL:
+            return self._selected(flagged), seen
+        failed = F.array_compact(
+            F.array(*[F.when(~F.col(f"_met{n}"), F.lit(each.name)) for n, each in doubtful.items()])
+        ).cast("array<string>")
+        part = F.when(all_met, F.lit(KEPT)).otherwise(F.lit(REJECTED))
+        if self.policy == WARN:
+            both = F.when(all_met, F.array(F.lit(KEPT))).otherwise(F.array(F.lit(REJECTED)))
+            part = F.explode(F.when(~all_met & kept, F.array(F.lit(KEPT), F.lit(REJECTED))).otherwise(both))
+        return self._selected(flagged, *unfit, failed.alias(FAILED), part.alias(PART)), seen
+
+    def counted(self, seen: Observation) -> list[tuple[str, str, int]]:
+        """The report from what a pass has counted: (table, constraint, violations)."""
+        found = seen.get
+        return [
+            (self.table, each.name, found.get(f"violations{n}", 0)) for n, each in enumerate(self.expectations)
+        ]
+
 
 def enforce(
     df: DataFrame,

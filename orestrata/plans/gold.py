@@ -32,7 +32,7 @@ from orestrata.fixed_values import (
     UNKNOWN,
 )
 from orestrata.functions.keys import date_key, last_characters
-from orestrata.operators.lookup import optional_lookup, required_lookup
+from orestrata.operators.lookup import Heavy, optional_lookup, required_lookup
 from orestrata.operators.reconcile import layer_counts
 from orestrata.operators.surrogate import surrogate_key
 
@@ -229,15 +229,19 @@ def _keys(dimensions: Dimensions, name: str, alias: str | None = None) -> DataFr
     return dimensions[name].select(key, F.col(surrogate).alias(alias or surrogate))
 
 
-def fact_sales(silver: Silver, dimensions: Dimensions, with_card: bool = True) -> DataFrame:
+def fact_sales(
+    silver: Silver, dimensions: Dimensions, with_card: bool = True, heavy: Heavy | None = None
+) -> DataFrame:
     """One row per order line, with the keys of its dimensions and its measures.
 
     Whatever depends on the order alone is looked up on the orders, several
     times fewer than the lines; the lines are shuffled once, by order. Lines
     without a customer, product, ship-to address or ship method are lost, see
     ``fact_join_loss``; a card is optional. A reader who does not want the
-    card's key can spare its join with ``with_card=False``.
+    card's key can spare its join with ``with_card=False``. ``heavy`` names orders (SalesOrderID) and
+    products (ProductID) so frequent among the lines that their rows are to be dealt to many tasks, see ``heavy_keys``.
     """
+    heavy = heavy or {}
     orders = silver["SalesOrderHeader"].select(
         F.col("SalesOrderID").alias("OrderKey"),
         date_key(F.col("OrderDate")).alias("OrderDateKey"),
@@ -281,8 +285,10 @@ def fact_sales(silver: Silver, dimensions: Dimensions, with_card: bool = True) -
         "UnitPriceDiscount",
         "LineTotal",
     )
-    lines = required_lookup(lines, "ProductID", _keys(dimensions, "DimProduct"), "ProductID")
-    fact = lines.join(orders, F.col("SalesOrderID") == F.col("OrderKey"))
+    products = _keys(dimensions, "DimProduct")
+    lines = required_lookup(lines, "ProductID", products, "ProductID", heavy.get("ProductID", ()))
+    orders = orders.withColumn("_order", F.col("OrderKey"))
+    fact = required_lookup(lines, "SalesOrderID", orders, "_order", heavy.get("SalesOrderID", ()))
     return fact.select(
         "SalesDetailKey",
         "OrderKey",

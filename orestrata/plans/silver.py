@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -121,5 +121,16 @@ VALIDATIONS = {
     "customers_without_person": (customers_without_person, ("Customer", "Person")),
 }
 
+
+
+def integrity_report(silver: Mapping[str, DataFrame]) -> DataFrame:
+    """(CheckName, AffectedRows) of all validations of references, none of which should find anything."""
+    found = [check(silver) for check, _ in VALIDATIONS.values()]
+    return reduce(
+        DataFrame.unionByName,
+        [df.select(F.lit(df.columns[0]).alias("CheckName"), F.col(df.columns[0]).alias("AffectedRows")) for df in found],
+    )
+
+
 # Tables shown as samples after a load.
 SAMPLED = ("Product", "Customer", "SalesOrderHeader", "SalesOrderDetail")

@@ -1,23 +1,37 @@
 """The whole build: bronze, profile, silver, validation, gold.
 
 Each layer is stored before the next one reads it, so that every step starts
-from files of known size and an executor's loss costs only its own tasks.
+from files of known size and an executor's loss costs only its own tasks. The tables of silver, and those of
+gold, take the place of the old ones together, once all of them are there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, GOLD, SILVER, TABLES
 from orestrata.operators.calendar import dim_date, dim_date_spanning
 from orestrata.operators.conform import Contract
-from orestrata.operators.expectations import FAIL, QUARANTINE, VIOLATIONS, Enforced
+from orestrata.operators.expectations import (
+    FAIL,
+    FAILED,
+    KEPT,
+    PART,
+    QUARANTINE,
+    REJECTED,
+    UNFIT,
+    VIOLATIONS,
+    ConstraintViolation,
+)
+from orestrata.operators.lookup import heavy_keys
+from orestrata.operators.reconcile import sample
 from orestrata.plans.bronze import bronze_row_counts, load_bronze
 from orestrata.plans.contracts import CONTRACTS
 from orestrata.plans.gold import (
@@ -26,14 +40,16 @@ from orestrata.plans.gold import (
     fact_sales,
     gold_row_counts,
 )
-from orestrata.plans.profile import profile_report
-from orestrata.plans.silver import conform_tables, silver_row_counts
-from orestrata.sources.layers import Layers
+from orestrata.plans.profile import LISTS, PROFILES, profile_report
+from orestrata.plans.silver import SAMPLED, conform_tables, integrity_report, silver_row_counts
+from orestrata.sources.layers import Layers, Staged
 from orestrata.sources.overlap import overlap
 from orestrata.sources.readers import Source
+from orestrata.sources.shared import scratch
 
 REJECTS = "_rejects"
 ORDER_YEAR = "OrderYear"
+_HEAVY = "heavy"
 
 
 class LoadFailed(Exception):
@@ -47,8 +63,11 @@ class BuildReport:
     loads: DataFrame
     bronze_rows: DataFrame
     profile: DataFrame
+    findings: Mapping[str, DataFrame]  # the lists that follow the profile, by name
     violations: DataFrame
     silver_rows: DataFrame
+    integrity: DataFrame
+    samples: Mapping[str, DataFrame]
     gold_rows: DataFrame
     join_loss: DataFrame
 
@@ -57,15 +76,6 @@ def read_layer(layers: Layers, layer: str, tables: Iterable[str]) -> dict[str, D
     return {table: layers.read(layer, table) for table in tables}
 
 
-def store_all(
-    layers: Layers, layer: str, frames: Mapping[str, DataFrame]
-) -> dict[str, DataFrame]:
-    """Store independent tables of one layer."""
-    return overlap(
-        {name: partial(layers.write, df, layer, name) for name, df in frames.items()}
-    )
-
-
 def build_silver(
     bronze: Mapping[str, DataFrame],
     layers: Layers,
@@ -74,35 +84,45 @@ def build_silver(
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Store all silver tables, and under ``<table>_rejects`` what was set aside.
 
-    Under the policy ``fail`` every table is checked before any is written.
-    Under ``quarantine`` the rows are gone through again, for the report and
-    the rejects, only where fewer were stored than there are: both counts come
-    from file footers and at most the key column.
+    After the check of its key each table is gone through once: that pass stores kept and rejected rows
+    in folders of their own and counts the violations. Under the policy ``fail`` one violation in any
+    table leaves all tables as they were.
     """
     spark = next(iter(bronze.values())).sparkSession
-    conformed = conform_tables(bronze, TABLES, policy, contracts)
-
-    def clean(each: Enforced, stored: DataFrame) -> bool:
-        return policy == FAIL or (policy == QUARANTINE and stored.count() == each.rows.count())
-
-    def store(table: str) -> tuple[DataFrame, list[tuple[str, str, int]]]:
-        each = conformed[table]
-        stored = layers.write(each.good, SILVER, table)
-        if clean(each, stored):
-            counts = [(table, expectation.name, 0) for expectation in each.expectations]
-            rejects = spark.createDataFrame([], each.rejects.schema)
-        else:
-            counts = [tuple(row) for row in each.report.collect()]
-            rejects = each.rejects
-        if policy != FAIL:
-            layers.write(rejects, SILVER, f"{table}{REJECTS}")
-        return stored, counts
-
-    done = overlap({table: partial(store, table) for table in TABLES})
+
+    def stage(table: str) -> tuple[list[Staged], list[tuple[str, str, int]]]:
+        each = replace(conformed[table], policy=policy)
+        rows, seen = each.laid_out()
+        whole = layers.stage(rows, SILVER, table, [] if policy == FAIL else [PART])
+        if policy == FAIL:
+            return [whole], each.counted(seen)
+        declared = [field for field in whole.schema.fields if field.name in each.columns]
+        shown = [*declared, *[whole.schema[name] for name in (UNFIT, FAILED)]]
+        staged = []
+        for name, part, fields in ((table, KEPT, declared), (f"{table}{REJECTS}", REJECTED, shown)):
+            staged.append(Staged(SILVER, name, f"{whole.folder}/{PART}={part}", T.StructType(fields)))
+            if not seen.get[part]:  # no row, hence no folder
+                spark.createDataFrame([], staged[-1].schema).write.parquet(staged[-1].folder)
+        return staged, each.counted(seen)
+
+    with scratch(spark):
+        conformed = conform_tables(bronze, TABLES, QUARANTINE, contracts)
+        done = overlap({table: partial(stage, table) for table in TABLES})
+    staged = [each for parts, _ in done.values() for each in parts]
+    if policy == FAIL:
+        broken = {
+            table: ", ".join(f"{name}: {count}" for _, name, count in counts if count)
+            for table, (_, counts) in done.items()
+        }
+        if any(broken.values()):
+            layers.discard(staged)
+            found = "; ".join(f"{table} violates {names}" for table, names in broken.items() if names)
+            raise ConstraintViolation(found)
+    stored = layers.commit(staged)
     violations = spark.createDataFrame(
         [count for _, counts in done.values() for count in counts], VIOLATIONS
     )
-    return {table: stored for table, (stored, _) in done.items()}, violations
+    return {table: stored[table] for table in TABLES}, violations
 
 
 def build_gold(
@@ -127,12 +147,16 @@ def build_gold(
         name: days if name == "DimDate" else build_dimension(name, silver, as_of)
         for name in DIMENSIONS
     }
-    gold = store_all(layers, GOLD, frames)
-    fact = fact_sales(silver, gold)
+    spark = orders.sparkSession
+    steps = {name: partial(layers.stage, df, GOLD, name) for name, df in frames.items()}
+    steps[_HEAVY] = partial(heavy_keys, silver["SalesOrderDetail"], ["SalesOrderID", "ProductID"])
+    staged = overlap(steps)
+    heavy = staged.pop(_HEAVY)
+    fact = fact_sales(silver, {name: each.read(spark) for name, each in staged.items()}, heavy=heavy)
     if fact_by_year:
         fact = fact.withColumn(ORDER_YEAR, F.expr("OrderDateKey div 10000").cast("int"))
-    gold[FACT] = layers.write(fact, GOLD, FACT, [ORDER_YEAR] if fact_by_year else [])
-    return gold
+    staged[FACT] = layers.stage(fact, GOLD, FACT, [ORDER_YEAR] if fact_by_year else [])
+    return layers.commit(list(staged.values()))
 
 
 def build_warehouse(
@@ -161,8 +185,11 @@ def build_warehouse(
         loads=loads,
         bronze_rows=bronze_row_counts(spark, bronze),
         profile=profile_report(bronze),
+        findings={name: PROFILES[name](bronze) for name in LISTS},
         violations=violations,
         silver_rows=silver_row_counts(bronze, silver),
+        integrity=integrity_report(silver),
+        samples={table: sample(silver[table], contracts[table].keys) for table in SAMPLED},
         gold_rows=gold_row_counts(
             bronze["SalesOrderDetail"], silver["SalesOrderDetail"], gold[FACT]
         ),

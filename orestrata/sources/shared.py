@@ -8,20 +8,28 @@ the size of real files, not on an estimate.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from orestrata.sources.files import remove
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _SETTING = Lock()
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode where none is set."""
+    """The session's checkpoint folder; in local mode where none is set a temporary one, gone with the process."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
@@ -29,12 +37,26 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder which all executors can reach")
     with _SETTING:  # independent tables are stored side by side
         if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orestrata-"))
+            own = tempfile.mkdtemp(prefix="orestrata-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/orestrata/{uuid.uuid4().hex}"
+    return f"{_SCRATCH.get() or f'{shared_folder(spark)}/orestrata'}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is settled within is removed at the end; no result that outlives it may read it."""
+    folder = new_folder(spark)
+    token = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        remove(spark, folder)
 
 
 def settle(df: DataFrame) -> DataFrame:

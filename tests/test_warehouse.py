@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from orestrata import CatalogLayers, ConstraintViolation, FrameSource, PathLayers, build_warehouse
 from orestrata.fixed_values import DIMENSIONS, FACT, GOLD, SILVER, TABLES
+from orestrata.plans.profile import LISTS
+from orestrata.plans.silver import SAMPLED
 from orestrata.plans.warehouse import REJECTS, LoadFailed, build_gold, build_silver
 from orestrata_checks.contracts import BOUND
 
@@ -18,6 +20,7 @@ VIOLATIONS = {
     "CK_SalesOrderHeader_ShipDate": 16,
     "CK_SalesOrderDetail_OrderQty": 19,
     "CK_SalesOrderDetail_UnitPrice": 13,
+    "PK_SalesOrderDetail": 24,
 }
 
 
@@ -34,6 +37,16 @@ def test_reports(built):
     assert len(loads) == 14 and all(row[1] == "loaded" for row in loads)
     assert {name: n for name, _, n, _ in loads} == dict(rows(report.bronze_rows))
     assert report.profile.count() == 23
+    assert list(report.findings) == list(LISTS) and all(df.count() for df in report.findings.values())
+    assert {row[0]: row[1] for row in rows(report.integrity)}.keys() == {
+        "ProductsWithoutSubcategory",
+        "CustomersWithoutTerritory",
+        "OrdersWithoutCustomer",
+        "OrderDetailsWithoutProduct",
+        "OrdersWithoutTerritory",
+        "CustomersWithoutPerson",
+    }
+    assert {table: df.count() for table, df in report.samples.items()} == dict.fromkeys(SAMPLED, 10)
     assert {row[1]: row[2] for row in rows(report.violations) if row[2]} == VIOLATIONS
     counts = {row[0]: row[1:] for row in rows(report.silver_rows)}
     assert len(counts) == 14
@@ -44,8 +57,8 @@ def test_reports(built):
     }
     assert dict(rows(report.gold_rows)) == {
         "Bronze Sales Details": 6000,
-        "Silver Sales Details": 5968,
-        "Gold FactSales Rows": 5738,
+        "Silver Sales Details": 5944,
+        "Gold FactSales Rows": 5716,
     }
 
 
