@@ -23,9 +23,14 @@ _BUCKET, _BITMAP = "bucket", "bitmap"
 _BUCKET_BITS = 32_768
 
 
-def day_bitmaps(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """(Column, bucket, bitmap): the different days each column holds. Dates before year 1 are not told apart."""
-    dates = F.explode(F.array(*[F.struct(F.lit(c).alias("Column"), F.col(c).alias("Date")) for c in columns]))
+def day_bitmaps(df: DataFrame, columns: Iterable[str], together: str | None = None) -> DataFrame:
+    """(Column, bucket, bitmap): the different days each column holds, or all of them under one name.
+
+    Dates before year 1 are not told apart.
+    """
+    dates = F.explode(
+        F.array(*[F.struct(F.lit(together or c).alias("Column"), F.col(c).alias("Date")) for c in columns])
+    )
     days = df.select(dates.alias("each")).where("each.Date IS NOT NULL").select("each.*")
     number = F.greatest(F.unix_date("Date") + _EPOCH, F.lit(1)).cast("bigint")
     return (
@@ -86,7 +91,7 @@ def dim_date_spanning(
     Days outside the years ``earliest`` to ``latest`` do not stretch it; those that occur are rows of their own, so
     that every date is found. Years are dealt to tasks one by one.
     """
-    days = days_of(day_bitmaps(df, columns)).select("Date").distinct()
+    days = days_of(day_bitmaps(df, columns, together="all")).select("Date")
     near = _plausible("Date", earliest, latest)
     years = days.where(near).agg(F.min(F.year("Date")).alias("low"), F.max(F.year("Date")).alias("high"))
     whole = years.where("low IS NOT NULL").select(F.explode(F.sequence("low", "high")).alias("year")).select(

@@ -132,8 +132,17 @@ def combined_report(tables: Mapping[str, DataFrame], checks: Sequence[TableCheck
     join, and a hot key costs as much as any other.
     """
 
+    sides = [(each.table, each.key) for each in checks if each.key is not None]
+    sides += [each.parent for each in checks if each.parent is not None]
+    frames = {table: tables[table] for table in dict.fromkeys([each.table for each in checks] + [t for t, _ in sides])}
+    integers: dict[tuple[str, str], bool] = {}
+    for table, df in frames.items():
+        keys = [key for own, key in sides if own == table]
+        kinds = df.select(*[key.alias(f"key{n}") for n, key in enumerate(keys)]).dtypes
+        integers |= {(table, str(key)): kind in _INTEGERS for key, (_, kind) in zip(keys, kinds)}
+
     def integer(table: str, key: Column) -> bool:
-        return tables[table].select(key.alias("key")).dtypes[0][1] in _INTEGERS
+        return integers[table, str(key)]
 
     entries: dict[str, list[Column]] = {}
     for number, check in enumerate(checks):
@@ -151,7 +160,7 @@ def combined_report(tables: Mapping[str, DataFrame], checks: Sequence[TableCheck
     said = reduce(
         DataFrame.unionByName,
         [
-            tables[table].select(F.explode(F.array(*asked)).alias("entry")).where("entry IS NOT NULL").select("entry.*")
+            frames[table].select(F.explode(F.array(*asked)).alias("entry")).where("entry IS NOT NULL").select("entry.*")
             for table, asked in entries.items()
         ],
     )
@@ -167,7 +176,7 @@ def combined_report(tables: Mapping[str, DataFrame], checks: Sequence[TableCheck
         F.count_if(F.col("rows") > 0).alias(DISTINCT),
         F.min("example").alias("example"),
     )
-    asked = tables[checks[0].table].sparkSession.createDataFrame(
+    asked = said.sparkSession.createDataFrame(
         [(number, each.label, each.anomaly, each.kind) for number, each in enumerate(checks)],
         "check int, Table string, Anomaly_Type string, kind string",
     )

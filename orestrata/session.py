@@ -12,6 +12,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows go to the files of a few parts (kept and rejected, years) side by side, instead of being sorted by part.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

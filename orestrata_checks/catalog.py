@@ -64,12 +64,15 @@ class Bronze(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def source(self, spark: SparkSession, table: str) -> DataFrame:
         return bound_table(spark, self.sf_dir, table)
 
     def __getitem__(self, table: str) -> DataFrame:
-        return bronze_table(self.spark, self.source, table)
+        if table not in self._frames:
+            self._frames[table] = bronze_table(self.spark, self.source, table)
+        return self._frames[table]
 
     def __iter__(self):
         return iter(TABLES)
