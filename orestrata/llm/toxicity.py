@@ -6,8 +6,8 @@ Fitting reads a bounded sample of labelled rows (``SAMPLE``, by a hash of the id
 example with the number of its rows and of its toxic rows. Examples are cut into blocks of
 similar vectors; each term has a list of blocks with its greatest weight there.
 
-A query sums these block maxima into bounds, scores blocks from the highest bound downwards
-and stops when the next bound is below the k-th best cosine, so the neighbours are exact. Votes are
+Queries are searched many at a time. A query sums these block maxima into bounds, scores the block of its highest
+bound, and then each block whose bound is not below its k-th best cosine so far, so the neighbours are exact. Votes are
 weighted by closeness and shrunk to the base rate; a monotone map fitted by leaving each
 example out turns the share of votes into a probability. A text none of whose terms is a
 feature gets the smoothed rate of such sample rows. Scores need the text only.
@@ -38,6 +38,8 @@ BLOCK = 64
 LEAST_G = 22.0
 LEAST_ROWS = 4
 _EPSILON = 0.05
+#: Queries searched together.
+AT_A_TIME = 1_000
 
 
 def held_out(doc_id: Column, folds: int) -> Column:
@@ -133,25 +135,46 @@ class Index:
         out[at] = (1 + np.log(counts)) * self.idf[at]
         return out / np.linalg.norm(out)
 
-    def nearest(self, query: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the nearest examples, exact; ties to the earlier example."""
-        used = np.flatnonzero(query)
-        weights = query[used]
-        bounds = self.maxima[:, used] @ weights
-        best, found = np.zeros(0), np.zeros(0, np.int64)
-        for block in np.argsort(-bounds, kind="stable"):
-            worst = best[-1] if len(best) == NEIGHBOURS else 0.0
-            if bounds[block] <= 0 or bounds[block] < worst - 1e-12:
-                break
+    def nearest_of(
+        self, queries: np.ndarray, skip: np.ndarray | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Places and cosines of the nearest examples of each query (row), exact; ties to the earlier example.
+
+        ``skip`` names an example which a query must not find, or -1.
+        """
+        many = len(queries)
+        skip = np.full(many, -1) if skip is None else skip
+        bounds = queries @ self.maxima.T
+        best = np.zeros((many, NEIGHBOURS))
+        found = np.full((many, NEIGHBOURS), len(self.vectors))
+
+        def meet(block: int, rows: np.ndarray) -> None:
             first = block * BLOCK
-            cosines = self.vectors[first : first + BLOCK][:, used] @ weights
-            places = first + np.flatnonzero(cosines > 0)
-            places = places[places != skip]
-            found = np.concatenate([found, places])
-            best = np.concatenate([best, cosines[places - first]])
-            order = np.lexsort((found, -best))[:NEIGHBOURS]
-            found, best = found[order], best[order]
-        return found, best
+            cosines = queries[rows] @ self.vectors[first : first + BLOCK].T
+            places = np.broadcast_to(first + np.arange(cosines.shape[1]), cosines.shape)
+            cosines = np.where((cosines > 0) & (places != skip[rows, None]), cosines, 0.0)
+            better = (cosines > 0) & (cosines >= best[rows, -1:])
+            own = np.flatnonzero(better.any(axis=1))
+            rows = rows[own]
+            places = np.where(cosines[own] > 0, places[own], len(self.vectors))
+            places, cosines = np.hstack([found[rows], places]), np.hstack([best[rows], cosines[own]])
+            order = np.lexsort((places, -cosines))[:, :NEIGHBOURS]
+            found[rows] = np.take_along_axis(places, order, axis=1)
+            best[rows] = np.take_along_axis(cosines, order, axis=1)
+
+        most = bounds.argmax(axis=1) if bounds.shape[1] else np.zeros(many, np.int64)
+        for block in np.unique(most).tolist() if bounds.shape[1] else ():
+            meet(block, np.flatnonzero(most == block))
+        for block in np.argsort(-bounds.max(axis=0, initial=0.0), kind="stable").tolist():
+            bound = bounds[:, block]
+            rows = np.flatnonzero((bound > 0) & (bound >= best[:, -1] - 1e-12) & (most != block))
+            if len(rows):
+                meet(block, rows)
+        return [(found[k][best[k] > 0], best[k][best[k] > 0]) for k in range(many)]
+
+    def nearest(self, query: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """The same of one query."""
+        return self.nearest_of(query[None, :], np.array([skip]))[0]
 
     def votes(self, places: np.ndarray, cosines: np.ndarray, less: tuple[int, int, int] = (-1, 0, 0)) -> float:
         """Share of toxic votes, closer examples counting more, shrunk to the prior."""
@@ -251,10 +274,12 @@ def _index(terms: np.ndarray, idf: np.ndarray, prior: float, examples) -> Index:
     if len(real):  # rows were ordered by their features, so neighbours in a block are alike
         index.maxima = np.maximum.reduceat(index.vectors, np.arange(0, len(real), BLOCK), axis=0)
     shares = []
-    for k in range(len(real)):
-        one = index.toxic[k] / index.rows[k]
-        places, cosines = index.nearest(index.vectors[k], skip=k if index.rows[k] == 1 else -1)
-        shares.append(index.votes(places, cosines, (k, 1, one)))
+    alone = np.where(index.rows == 1, np.arange(len(real)), -1)
+    for first in range(0, len(real), AT_A_TIME):
+        last = min(first + AT_A_TIME, len(real))
+        near = index.nearest_of(index.vectors[first:last], alone[first:last])
+        for k, (places, cosines) in zip(range(first, last), near, strict=True):
+            shares.append(index.votes(places, cosines, (k, 1, index.toxic[k] / index.rows[k])))
     index.knots, index.levels = _monotone(np.array(shares), index.toxic, index.rows, prior)
     return index
 
@@ -268,21 +293,25 @@ def _scored(texts: pa.Array, index: Index, seen: dict[bytes, Scored], evidence:
     ``seen`` remembers the results of equal feature vectors.
     """
     at, counts, bounds = _features(texts, index.terms)
-    results: list[Scored] = []
+    if len(seen) >= 50_000:
+        seen.clear()
+    keys: list[bytes] = []
+    new: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
     for k in range(len(texts)):
         own, often = at[bounds[k] : bounds[k + 1]], counts[bounds[k] : bounds[k + 1]]
-        if not len(own) or not len(index.vectors):
-            results.append((index.empty, [], []))
-            continue
         key = own.tobytes() + often.tobytes()
+        keys.append(key)
         if key not in seen:
-            if len(seen) >= 50_000:
-                seen.clear()
-            places, cosines = index.nearest(index.vector(own, often))
+            new[key] = own, often
+    known = [key for key, (own, _) in new.items() if len(own) and len(index.vectors)]
+    seen |= dict.fromkeys(new, (index.empty, [], []))
+    for first in range(0, len(known), AT_A_TIME):
+        part = known[first : first + AT_A_TIME]
+        near = index.nearest_of(np.stack([index.vector(*new[key]) for key in part]))
+        for key, (places, cosines) in zip(part, near, strict=True):
             value = index.score(index.votes(places, cosines)) if len(places) else index.empty
-            seen[key] = (value, index.ids[places[:evidence]].tolist(), cosines[:evidence].tolist())
-        results.append(seen[key])
-    return results, bounds
+            seen[key] = value, index.ids[places[:evidence]].tolist(), cosines[:evidence].tolist()
+    return [seen[key] for key in keys], bounds
 
 
 def score(docs: DataFrame, index: Index, evidence: int = 3) -> DataFrame:
