@@ -28,6 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orestrata.llm.session import releasing
 from orestrata.llm.text import chunks
 from orestrata.sources.shared import settle
 
@@ -158,6 +159,7 @@ def encoder(path: str) -> Encoder:
 def word_table(docs: DataFrame, path: str) -> DataFrame:
     """(word, n, ids): every distinct word of the texts, its occurrences, its ids (2 bytes each)."""
 
+    @releasing
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter(path).split
         seen: dict[str, int] = {}
@@ -176,6 +178,7 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
                     seen.clear()
         yield out()
 
+    @releasing
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = splitter(path).encode
         for batch in batches:
@@ -239,6 +242,7 @@ def encode(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
     words = word_table(docs, path)
     shared = docs.sparkSession.sparkContext.broadcast(Head(words, head))
 
+    @releasing
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter(path).split
         known: Head = shared.value
@@ -269,6 +273,7 @@ def encode(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
                     names=["key", "doc_id", "numbers", "n_words", "at", "word"],
                 )
 
+    @releasing
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Head = shared.value
         for batch in batches:
@@ -323,6 +328,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """
     pieces = encoded.sparkSession.sparkContext.broadcast(splitter(path).pieces())
 
+    @releasing
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.array(pieces.value, dtype=object)
         for batch in batches:

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.llm.components import components
+from orestrata.llm.session import releasing
 from orestrata.llm.text import U64, chunks, find, mix, of_each, ragged, shingles, word_hashes
 from orestrata.sources.shared import settle, settle_counting
 
@@ -62,6 +63,7 @@ def _sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 def _frequent(docs: DataFrame, size: int) -> np.ndarray:
     """The most frequent shingles, most frequent last."""
 
+    @releasing
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, weight = np.zeros(0, U64), np.zeros(0, np.int64)
         pending: list[np.ndarray] = []
@@ -105,6 +107,7 @@ def document_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     order = np.argsort(ranked)
     shared = docs.sparkSession.sparkContext.broadcast((ranked[order], order.astype(U64)))
 
+    @releasing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = shared.value
         for batch in batches:
@@ -170,6 +173,7 @@ def _entries(classes: DataFrame) -> DataFrame:
     shared = classes.sparkSession.sparkContext.broadcast(np.sort(columns.toArrow()["shingle"].to_numpy()))
 
     @F.arrow_udf("boolean")
+    @releasing
     def met(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
             yield pa.array(find(shared.value, part.to_numpy(zero_copy_only=False))[1])
@@ -248,6 +252,7 @@ def _whole_sets(docs: DataFrame, size: int, wanted: DataFrame, count: int) -> Da
         ids = wanted.toArrow()["set_id"].to_numpy()
         shared = docs.sparkSession.sparkContext.broadcast(np.sort(ids))
 
+    @releasing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, part in chunks(batch.column("text")):

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orestrata.llm.session import releasing
 from orestrata.llm.text import NOT_LETTERS, U64, chunks, find, of_each, word_hashes
 
 #: Labelled rows of the sample, features, neighbours and examples per block.
@@ -75,6 +76,7 @@ def _bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def term_counts(sample: DataFrame) -> DataFrame:
     """(term, rows, toxic_rows) over the sample, counted per task before the exchange."""
 
+    @releasing
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in chunks(batch.column("text")):
@@ -227,6 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Index:
     terms = terms[order]
     idf = np.log((1 + size) / (1 + chosen["rows"].to_numpy(dtype=float)[order])) + 1
 
+    @releasing
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in chunks(batch.column("text")):
@@ -318,6 +321,7 @@ def score(docs: DataFrame, index: Index, evidence: int = 3) -> DataFrame:
     """doc_id, score, n_features and the nearest sample rows with their cosines, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
+    @releasing
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Index = shared.value
         seen: dict[bytes, Scored] = {}
@@ -345,6 +349,7 @@ def drop_toxic(docs: DataFrame, index: Index, threshold: float = 0.5) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     @F.arrow_udf("boolean")
+    @releasing
     def clean(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         seen: dict[bytes, Scored] = {}
         for texts in parts:
