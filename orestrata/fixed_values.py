@@ -25,6 +25,24 @@ TABLES = (
     "CreditCard",
 )
 
+# The schema of the operational database in which each table lives.
+SOURCE_SCHEMAS = {
+    "SalesOrderHeader": "Sales",
+    "SalesOrderDetail": "Sales",
+    "Customer": "Sales",
+    "Store": "Sales",
+    "SalesTerritory": "Sales",
+    "CreditCard": "Sales",
+    "Person": "Person",
+    "Address": "Person",
+    "StateProvince": "Person",
+    "CountryRegion": "Person",
+    "Product": "Production",
+    "ProductSubcategory": "Production",
+    "ProductCategory": "Production",
+    "ShipMethod": "Purchasing",
+}
+
 DIMENSIONS = (
     "DimProduct",
     "DimCustomer",

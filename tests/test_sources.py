@@ -18,6 +18,8 @@ from orestrata import (
     ingest,
     load_isolated,
 )
+from orestrata.__main__ import arguments, source
+from orestrata.fixed_values import SOURCE_SCHEMAS, TABLES
 from orestrata.plans.bronze import bronze_table
 from orestrata.sources.overlap import overlap
 from orestrata.sources.shared import settle, settle_counting, shared_folder
@@ -83,6 +85,27 @@ def test_jdbc_options():
     assert source.options("Customer")["dbtable"] == "Customer"
 
 
+def test_command_line_sources():
+    given = arguments(["in", "out", "--suffix", ".parquet"])
+    assert source(given) == FileSource("in", "parquet", suffix=".parquet")
+    line = ["jdbc:x:y", "out", "--property", "user=a=b", "--split", "SalesOrderDetail=SalesOrderDetailID,1,900,9"]
+    found = source(arguments([*line, "--small", "ShipMethod", "Store"]))
+    assert found.options("SalesOrderDetail") == {
+        "url": "jdbc:x:y",
+        "dbtable": "Sales.SalesOrderDetail",
+        "fetchsize": "10000",
+        "user": "a=b",
+        "partitionColumn": "SalesOrderDetailID",
+        "lowerBound": "1",
+        "upperBound": "900",
+        "numPartitions": "9",
+    }
+    assert found.options("ShipMethod")["dbtable"] == "Purchasing.ShipMethod" and "Store" in found.small
+    assert SOURCE_SCHEMAS.keys() == set(TABLES)
+    with pytest.raises(SystemExit):
+        arguments([*line, "--split", "Nothing=a,1,2,3"])
+
+
 def test_unsplit_tables_are_refused(spark):
     source = JdbcSource("jdbc:x:y", small=["SalesTerritory"])
     with pytest.raises(UnsplitTable, match="Customer has no split"):
