@@ -72,6 +72,7 @@ def main() -> None:
         report.violations.where("Violations > 0"),
         report.silver_rows,
         report.integrity,
+        report.calendar,
         *report.samples.values(),
         report.gold_rows,
         report.join_loss,

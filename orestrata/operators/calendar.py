@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from orestrata.fixed_values import CALENDAR_END, CALENDAR_START
 from orestrata.functions.keys import date_key
 
+#: Years within which dates stretch the calendar of a build.
+PLAUSIBLE_YEARS = (1900, 2100)
 #: The number of the epoch if the first day of year 1 is number 1; bitmaps count from 1.
 _EPOCH = 719_163
 _BUCKET, _BITMAP = "bucket", "bitmap"

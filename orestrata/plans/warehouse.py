@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, GOLD, SILVER, TABLES
-from orestrata.operators.calendar import dim_date, dim_date_spanning
+from orestrata.operators.calendar import PLAUSIBLE_YEARS, calendar_coverage, dim_date, dim_date_spanning
 from orestrata.operators.conform import Contract
 from orestrata.operators.expectations import (
     FAIL,
@@ -49,6 +49,7 @@ from orestrata.sources.shared import scratch
 
 REJECTS = "_rejects"
 ORDER_YEAR = "OrderYear"
+ORDER_DATES = ("OrderDate", "DueDate", "ShipDate")
 _HEAVY = "heavy"
 
 
@@ -68,6 +69,7 @@ class BuildReport:
     silver_rows: DataFrame
     integrity: DataFrame
     samples: Mapping[str, DataFrame]
+    calendar: DataFrame  # days the orders' dates hold, days the calendar lacks, dates far off
     gold_rows: DataFrame
     join_loss: DataFrame
 
@@ -135,12 +137,12 @@ def build_gold(
     """Store the dimensions, then the fact which looks them up.
 
     Without a ``calendar`` range the date dimension spans the years of the
-    orders. ``fact_by_year`` adds a column OrderYear to the fact and lays its
+    orders; dates far off (``PLAUSIBLE_YEARS``) are single days of it. ``fact_by_year`` adds a column OrderYear to the fact and lays its
     files out by it, for readers who ask for some years only.
     """
     orders = silver["SalesOrderHeader"]
     if calendar is None:
-        days = dim_date_spanning(orders, ["OrderDate", "DueDate", "ShipDate"])
+        days = dim_date_spanning(orders, ORDER_DATES, *PLAUSIBLE_YEARS)
     else:
         days = dim_date(orders.sparkSession, *calendar)
     frames = {
@@ -189,6 +191,7 @@ def build_warehouse(
         violations=violations,
         silver_rows=silver_row_counts(bronze, silver),
         integrity=integrity_report(silver),
+        calendar=calendar_coverage(silver["SalesOrderHeader"], ORDER_DATES, gold["DimDate"], *PLAUSIBLE_YEARS),
         samples={table: sample(silver[table], contracts[table].keys) for table in SAMPLED},
         gold_rows=gold_row_counts(
             bronze["SalesOrderDetail"], silver["SalesOrderDetail"], gold[FACT]

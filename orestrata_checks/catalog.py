@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.fixed_values import BRONZE, DIMENSIONS, FACT, GOLD, LAYERS, SILVER, TABLES
-from orestrata.operators.calendar import dim_date_spanning
+from orestrata.operators.calendar import calendar_coverage, dim_date, dim_date_spanning
 from orestrata.operators.conform import conform
 from orestrata.operators.conform import violations as constraint_violations
 from orestrata.operators.expectations import FAILED, QUARANTINE, UNFIT, Expectation, violation_report
@@ -159,6 +159,13 @@ def rejects_query(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rejects.withColumn(FAILED, F.array_join(FAILED, ",")).drop(UNFIT)
 
 
+def unfit_query(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Rejected rows with the values that did not fit, as text."""
+    rejects = conform(Bronze(spark, sf_dir)[table], BOUND[table], QUARANTINE).rejects
+    named = F.transform(UNFIT, lambda each: F.concat(each["Column"], F.lit("="), each["Value"]))
+    return rejects.withColumns({FAILED: F.array_join(FAILED, ","), UNFIT: F.array_join(named, ",")})
+
+
 def violations(
     spark: SparkSession, sf_dir: str, tables: Iterable[str], constraint: str
 ) -> DataFrame:
@@ -213,6 +220,12 @@ def dim_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim_date_spanning(orders, ORDER_DATES)
 
 
+def coverage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a calendar of the years 1996 to 1999 lacks of the orders' dates, and those outside 1996 to 2000."""
+    orders = silver_query(spark, sf_dir, "SalesOrderHeader")
+    return calendar_coverage(orders, ORDER_DATES, dim_date(spark, "1996-01-01", "1999-12-31"), 1996, 2000)
+
+
 def star(
     spark: SparkSession, sf_dir: str, with_card: bool, described: Iterable[str] = ()
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame], DataFrame]:
@@ -296,6 +309,7 @@ def queries() -> dict[str, Query]:
         found[f"silver_{snake(table)}"] = partial(silver_query, table=table)
     for table in ("SalesOrderHeader", "SalesOrderDetail"):
         found[f"silver_{snake(table)}_rejects"] = partial(rejects_query, table=table)
+    found["silver_credit_card_rejects"] = partial(unfit_query, table="CreditCard")
 
     found["expect_unique_key"] = unique_key_query
     required = [t for t, contract in BOUND.items() if any(f.required for f in contract.fields)]
@@ -320,6 +334,7 @@ def queries() -> dict[str, Query]:
         found[snake(name)] = (
             dim_date_query if name == "DimDate" else partial(dimension_query, name=name)
         )
+    found["calendar_coverage"] = coverage_query
     found[snake(FACT)] = fact_query
     found["val_gold_row_counts"] = gold_counts_query
     found["fact_join_loss"] = join_loss_query

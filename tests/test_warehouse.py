@@ -11,7 +11,7 @@ from orestrata import CatalogLayers, ConstraintViolation, FrameSource, PathLayer
 from orestrata.fixed_values import DIMENSIONS, FACT, GOLD, SILVER, TABLES
 from orestrata.plans.profile import LISTS
 from orestrata.plans.silver import SAMPLED
-from orestrata.plans.warehouse import REJECTS, LoadFailed, build_gold, build_silver
+from orestrata.plans.warehouse import ORDER_DATES, REJECTS, LoadFailed, build_gold, build_silver
 from orestrata_checks.contracts import BOUND
 
 AS_OF = datetime(2002, 1, 1)
@@ -21,6 +21,7 @@ VIOLATIONS = {
     "CK_SalesOrderDetail_OrderQty": 19,
     "CK_SalesOrderDetail_UnitPrice": 13,
     "PK_SalesOrderDetail": 24,
+    "FIT_CreditCard_ExpYear": 2,
 }
 
 
@@ -54,7 +55,9 @@ def test_reports(built):
         "Product",
         "SalesOrderHeader",
         "SalesOrderDetail",
+        "CreditCard",
     }
+    assert {row[0]: row[2:4] for row in rows(report.calendar)} == dict.fromkeys(ORDER_DATES, (0, 0))
     assert dict(rows(report.gold_rows)) == {
         "Bronze Sales Details": 6000,
         "Silver Sales Details": 5944,
