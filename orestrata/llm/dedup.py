@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from orestrata.llm import fuse
 from orestrata.llm.text import find
+from orestrata.llm.session import free_name
 from orestrata.sources.shared import settle, settle_counting
 
 #: Digests per filter, and the fewest shards, so that small snapshots are spread as well.
@@ -208,19 +209,20 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
 
     Of rows repeated with one id and text, columns aside, the one with the least JSON stays.
     """
-    marked = docs.withColumn("__digest", sha256(normalised(F.col("text"))))
+    own, its_id, of = (free_name(name, docs.columns) for name in ("__digest", "__id", "__of"))
+    marked = docs.withColumn(own, sha256(normalised(F.col("text"))))
     found = settle(exact_duplicates(docs))
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of")).distinct()
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(its_id), F.col("digest").alias(of)).distinct()
     twice = found.groupBy("doc_id", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.max("kept").alias("stays")
-    ).where("n > 1 AND stays").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of"))
-    same = marked["doc_id"].eqNullSafe(F.col("__id")) & (marked["__digest"] == F.col("__of"))
-    kept = marked.join(gone, same, "left_anti").drop("__digest")
+    ).where("n > 1 AND stays").select(F.col("doc_id").alias(its_id), F.col("digest").alias(of))
+    same = marked["doc_id"].eqNullSafe(F.col(its_id)) & (marked[own] == F.col(of))
+    kept = marked.join(gone, same, "left_anti").drop(own)
     if not twice.isEmpty():
         columns = [F.col(f"`{name}`") for name in docs.columns]
         once = (
             marked.join(twice, same, "left_semi")
-            .groupBy("doc_id", "__digest")
+            .groupBy("doc_id", own)
             .agg(F.min_by(F.struct(*columns), F.to_json(F.struct(*columns))).alias("row"))
         )
         kept = kept.unionByName(once.select("row.*"))

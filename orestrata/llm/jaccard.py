@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.llm.components import components
-from orestrata.llm.session import releasing
+from orestrata.llm.session import free_name, releasing
 from orestrata.llm.text import U64, chunks, find, mix, of_each, ragged, shingles, word_hashes
 from orestrata.sources.shared import settle, settle_counting
 
@@ -337,5 +337,6 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int
     Rows repeated with one id share its fate: exact copies are the matter of exact dedup.
     """
     found = settle(jaccard_components(docs, size, num, den))
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    name = free_name("__gone", docs.columns)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col(name), "left_anti")

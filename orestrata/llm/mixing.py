@@ -8,8 +8,8 @@ by a second hash, range-partitioned, so that the order over all files is the mix
 
 A null text is carried as it is. A null source is a source of its own, named by null in
 ``weights``. A null id draws like an id of its own; rows repeated with the same id are
-replicated alike. A source of weight 0 vanishes. Extra columns are carried. An empty table
-gives an empty mixture.
+replicated alike. A source of weight 0 vanishes. Extra columns are carried; if one has the name of
+a result, the result's gets underscores behind it (``result_names``). An empty table gives an empty mixture.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orestrata.llm.session import free_name
 from orestrata.sources.shared import settle
 
 SEED = "mixture-1"
@@ -73,32 +74,39 @@ def poisson_draw(mean: Column, u: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), most), start, step, lambda state: state["k"])
 
 
+def result_names(docs: DataFrame) -> tuple[str, str]:
+    """What the mixture's own columns are called: copy and mix_key, unless ``docs`` has such."""
+    return free_name("copy", docs.columns), free_name("mix_key", docs.columns)
+
+
 def mixture(
     docs: DataFrame, weights: dict[str | None, float] | None = None, seed: str = SEED, partitions: int | None = None
 ) -> DataFrame:
     """All columns of ``docs`` plus copy (from 1) and mix_key, one row per replica, shuffled."""
-    means = repetitions(docs, weights).select(F.col("source").alias("__source"), F.col("mean").alias("__mean"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("__mean") / 600).cast("int"))
+    own_source, mean, times = (free_name(name, docs.columns) for name in ("__source", "__mean", "__count"))
+    copy, mix_key = result_names(docs)
+    means = repetitions(docs, weights).select(F.col("source").alias(own_source), F.col("mean").alias(mean))
+    parts = F.greatest(F.lit(1), F.ceil(F.col(mean) / 600).cast("int"))
     draw = F.aggregate(
         F.sequence(F.lit(1), parts),
         F.lit(0),
         lambda total, part: total
         + poisson_draw(
-            F.col("__mean") / parts,
+            F.col(mean) / parts,
             uniform(F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), part.cast("string")), seed),
         ),
     )
     # The table of sources was written, so it is broadcast only if its files are small.
     drawn = (
-        docs.join(means, docs["source"].eqNullSafe(means["__source"]))
-        .withColumn("__count", draw)
-        .where("__count > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), "__count")))
-        .withColumn("mix_key", F.md5(F.concat(F.lit(f"{seed}/order:"), F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")))))
-        .drop("__source", "__mean", "__count")
+        docs.join(means, docs["source"].eqNullSafe(means[own_source]))
+        .withColumn(times, draw)
+        .where(F.col(times) > 0)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), times)))
+        .withColumn(mix_key, F.md5(F.concat(F.lit(f"{seed}/order:"), F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col(copy).cast("string")))))
+        .drop(own_source, mean, times)
     )
     count = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return drawn.repartitionByRange(count, "mix_key").sortWithinPartitions("mix_key")
+    return drawn.repartitionByRange(count, mix_key).sortWithinPartitions(mix_key)
 
 
 def oracle(seed: str = SEED) -> str:

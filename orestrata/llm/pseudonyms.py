@@ -29,6 +29,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orestrata.llm.session import free_name
+
 KEY = "pseudonyms-1"
 ROUNDS = 8
 
@@ -214,12 +216,16 @@ def kind_of(value: Column) -> Column:
 
 
 def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with its text pseudonymised, and ``pii``: kind, place in the order of values, and pseudonym."""
+    """``docs`` with its text pseudonymised, and ``pii``: kind, place in the order of values, and pseudonym.
+
+    If ``docs`` has a column pii, the result's is called pii_, and so on.
+    """
+    values, pairs, result = (free_name(name, docs.columns) for name in ("__found", "__new", "pii"))
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     found = docs.select(
         *others,
         F.col("text").cast("string").alias("text"),
-        F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(_ANY), F.lit(0)).alias("__found"),
+        F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(_ANY), F.lit(0)).alias(values),
     )
 
     def replaced(value: Column) -> Column:
@@ -228,15 +234,15 @@ def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
             out = F.when(kind == name, pseudonym(value, f"{key}/{name}")).otherwise(out)
         return F.struct(kind.alias("kind"), out.alias("pseudonym"), (out != value).alias("changed"))
 
-    changed = found.withColumn("__new", F.transform("__found", replaced))
+    changed = found.withColumn(pairs, F.transform(values, replaced))
     between = F.split(F.col("text"), _ANY, -1)
-    new = F.concat(F.transform("__new", lambda x: x["pseudonym"]), F.array(F.lit("")))
+    new = F.concat(F.transform(pairs, lambda x: x["pseudonym"]), F.array(F.lit("")))
     text = F.array_join(F.flatten(F.zip_with(between, new, lambda a, b: F.array(a, b))), "")
     pii = F.transform(
-        F.filter("__new", lambda x: x["changed"]), lambda x: F.struct(x["kind"].alias("kind"), x["pseudonym"].alias("pseudonym"))
+        F.filter(pairs, lambda x: x["changed"]), lambda x: F.struct(x["kind"].alias("kind"), x["pseudonym"].alias("pseudonym"))
     )
     columns = [
-        F.when(F.size("__found") == 0, F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(f"`{c}`")
+        F.when(F.size(values) == 0, F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(f"`{c}`")
         for c in docs.columns
     ]
-    return changed.select(*columns, pii.alias("pii"))
+    return changed.select(*columns, pii.alias(result))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 
 import pyarrow as pa
@@ -24,6 +24,14 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, or the first of name_, name__, ... which no column has; letter case does not count."""
+    known = {each.lower() for each in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def release() -> None:
     """Give freed memory back to the system: a worker lives on, and the next stage's stand beside it."""
     gc.collect()

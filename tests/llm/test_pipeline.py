@@ -6,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from orestrata.llm import mixing, toxicity
+from orestrata.llm import mixing, pseudonyms, toxicity
 from tests.llm import brute
 
 FOLDER = "/root/testdata/sf0.01"
@@ -69,3 +69,22 @@ def test_run_on_odd_tables(spark, odd_docs, empty_docs, tmp_path):
         docs.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
         count = corpus_pipeline.run(spark, str(tmp_path)).count()
         assert (count > 0) == (docs is odd_docs)
+
+
+def test_columns_named_like_helpers_are_carried(spark, empty_docs):
+    names = ["__gone", "__digest", "__ID", "__of", "__source", "__mean", "__count", "copy", "mix_key", "pii", "__found", "__new"]
+    same = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(k, text, "en", "s", 1, *range(len(names))) for k, text in enumerate([same, same, same + " x", None, "", "other words"])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{name}` int" for name in names)
+    given = spark.createDataFrame([*rows, rows[0]], schema)
+    docs = given
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        docs = stage(spark, docs, FOLDER)
+        assert docs.columns == given.columns, name
+        for row in docs.collect():
+            assert tuple(row)[5:] == tuple(range(len(names)))
+    assert {row.doc_id for row in docs.collect()} <= {0, 3, 4, 5}
+    mixed = mixing.mixture(given)
+    assert mixed.columns == [*given.columns, "copy_", "mix_key_"]
+    found = pseudonyms.pseudonymised(given)
+    assert found.columns == [*given.columns, "pii_"] and found.count() == 7
