@@ -1,7 +1,8 @@
 """Training data from raw documents: every stage is one operator, written and read again.
 
 Each stage works on all rows its predecessor kept, and all but the last return the columns of
-``documents``. Rows with nulls and empty texts pass like others; an empty table stays empty.
+``documents``, extra ones and those named like a helper included. Rows with nulls and empty texts pass like others; of
+equal rows one stays, of ties the least id; texts of any length are read whole; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at equal weights, replicated and shuffled."""
     prepared(spark)
-    return mixing.mixture(docs).drop("copy", "mix_key")
+    return mixing.mixture(docs).drop(*mixing.result_names(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
