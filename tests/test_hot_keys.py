@@ -79,7 +79,8 @@ def test_hot_build_equals_sql(spark, bronze, shuffled, tmp_path):
     assert rejected["Product"].count() >= 2 and silver["Product"].where("ProductID = 11").count() == 1
     assert rejected["CreditCard"].where("CreditCardID IS NULL").count() == 2
 
-    fact = fact_sales(silver, gold).agg(F.count("SalesDetailKey"), F.max("SalesChannel"))
+    measures = [F.max(column) for column in ("SalesChannel", "LineTotal", "UnitPrice", "SalesDetailKey")]
+    fact = fact_sales(silver, gold).agg(F.count("SalesDetailKey"), *measures)
     fact.collect()
     assert "skew=true" in fact._jdf.queryExecution().executedPlan().toString()
 
