@@ -107,8 +107,9 @@ def build_silver(
                 spark.createDataFrame([], staged[-1].schema).write.parquet(staged[-1].folder)
         return staged, each.counted(seen)
 
+    given = {table: bronze[table] for table in TABLES}  # read, perhaps numbered, before the scratch begins
     with scratch(spark):
-        conformed = conform_tables(bronze, TABLES, QUARANTINE, contracts)
+        conformed = conform_tables(given, TABLES, QUARANTINE, contracts)
         done = overlap({table: partial(stage, table) for table in TABLES})
     staged = [each for parts, _ in done.values() for each in parts]
     if policy == FAIL:

@@ -59,6 +59,16 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         remove(spark, folder)
 
 
+@contextmanager
+def lasting() -> Iterator[None]:
+    """What is settled within stays, also inside a ``scratch``."""
+    token = _SCRATCH.set(None)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     path = new_folder(df.sparkSession)

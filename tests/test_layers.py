@@ -12,7 +12,7 @@ from orestrata.operators.conform import conform, violations
 from orestrata.operators.expectations import FAIL, KEPT, PART, QUARANTINE, REJECTED, WARN
 from orestrata.plans import warehouse
 from orestrata.plans.warehouse import REJECTS, build_silver
-from orestrata.sources.shared import new_folder, scratch, settle, shared_folder
+from orestrata.sources.shared import lasting, new_folder, scratch, settle, shared_folder
 from orestrata_checks import catalog
 from orestrata_checks.contracts import BOUND
 
@@ -148,7 +148,10 @@ def test_a_build_leaves_nothing_behind(spark, bronze, tmp_path):
     with scratch(spark):
         within = new_folder(spark).removeprefix("file:")
         assert settle(spark.range(3)).count() == 3
+        with lasting():
+            kept = settle(spark.range(4))
     assert not os.path.exists(os.path.dirname(within))
+    assert kept.count() == 4
 
 
 def test_constraints_of_rows_need_no_job_on_keys(spark, bronze, jobs):
