@@ -10,15 +10,15 @@ from functools import wraps
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-from orestrata.session import tune
+from orestrata.session import adaptive
 
 #: Rows which go to a Python worker at once: a few megabytes of texts.
 BATCH_ROWS = "2000"
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """``tune``, and batches whose memory a worker can hold next to its arrays."""
-    spark = tune(spark)
+    """``adaptive``, and batches whose memory a worker can hold next to its arrays."""
+    spark = adaptive(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark
