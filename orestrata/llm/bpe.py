@@ -120,6 +120,19 @@ def splitter(path: str) -> Splitter:
     return Splitter(path)
 
 
+class _Numbers(dict):
+    """A number for each word, in the order met; ``new`` are those not encoded yet."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
     """Ids of whole texts: a word is encoded when a worker first meets it, some ``KNOWN`` are kept."""
 
@@ -128,7 +141,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._number: dict[str, int] = {}
+        self._number = _Numbers()
         self._ids, self._bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -137,15 +150,13 @@ class Encoder:
             self._forget()
         split, number = self._splitter.split, self._number
         words = [split(text or "") for text in texts]
-        # Not a difference of sets, which would go through all known words.
-        new = [w for w in set(chain.from_iterable(words)) if w not in number]
-        if new:
-            ids, bounds = self._splitter.encode(new)
-            number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
-            self._bounds = np.concatenate([self._bounds, self._bounds[-1] + bounds[1:]])
-            self._ids = np.concatenate([self._ids, ids])
         counts = np.array([0, *map(len, words)], dtype=np.int64)
         numbers = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        if number.new:
+            ids, bounds = self._splitter.encode(number.new)
+            number.new = []
+            self._bounds = np.concatenate([self._bounds, self._bounds[-1] + bounds[1:]])
+            self._ids = np.concatenate([self._ids, ids])
         ends = np.concatenate([[0], np.cumsum(np.diff(self._bounds)[numbers])])
         return _gather(self._ids, self._bounds, numbers), ends[np.cumsum(counts)]
 

@@ -39,3 +39,15 @@ def test_repeated_rows_null_ids_and_empty_table(spark, empty_docs):
     assert sorted((str(r.doc_id), r.n_tokens > 0) for r in rows) == [("1", True), ("1", True), ("None", False), ("None", True)]
     assert len({r.ids_sha256 for r in rows}) == 3
     assert bpe.encode(empty_docs, PATH).count() == 0
+
+
+def test_known_words_are_numbered_once():
+    encoder = bpe.Encoder(PATH)
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = ["one two one", None, "two three", "", "one <|endoftext|> four"]
+    for _ in range(2):
+        ids, bounds = encoder.encode(texts)
+        for k, text in enumerate(texts):
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+    words = [w for text in texts for w in encoder._splitter.split(text or "")]
+    assert len(encoder._number) == len(set(words)) and not encoder._number.new
