@@ -2,10 +2,12 @@
 
 Texts are split into words in Spark tasks (``Splitter``), distinct words are counted, and each
 is encoded once. The table goes back to the words' positions in two ways, whose results are
-the same: the ``head`` most frequent words travel to every task (the bound is a parameter), the
-others join by word and then by document and position. Between the two steps a document is
-its list of word numbers, compressed. Decoding takes the piece of every id from the
-vocabulary, a table as small as the tokenizer.
+the same: the most frequent words travel to every task, as many as leave one in ``REST``
+occurrences to the others, and at most ``head`` (a parameter); the others join by word and then
+by document and position, so that the rows of this join grow as the words of the texts do, at any
+size. Between the two steps a document is its list of word numbers, compressed, beside its
+other words. Decoding takes the piece of every id from the vocabulary, a table as small as the
+tokenizer.
 
 A null text counts as empty and has no tokens. Texts of any length are encoded whole. Rows
 repeated with one id and text are returned as often as they occur; a null id is carried.
@@ -19,10 +21,11 @@ import re
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -32,8 +35,12 @@ from orestrata.llm.session import releasing
 from orestrata.llm.text import chunks
 from orestrata.sources.shared import settle
 
-#: The most frequent words sent to every task: some 20 MB, and 100 MB as the dictionary of a task.
+#: The most frequent words sent to every task, at most: some 20 MB, and 100 MB as the dictionary of a task.
 HEAD = 500_000
+#: One occurrence in so many is left to the join by word.
+REST = 50
+#: Words which occur as often or more are one class where the head is sized, so that there are no more classes.
+CLASSES = 100_000
 #: Words a task remembers before it starts anew.
 REMEMBERED = 250_000
 #: Words whose ids a worker keeps from one task to the next, some 100 MB.
@@ -209,12 +216,29 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
     return settle(words.mapInArrow(encoded, "word string, n long, ids binary"))
 
 
+def head_size(words: DataFrame, most: int, rest: int = REST) -> tuple[int, int]:
+    """How many of the most frequent words leave one in ``rest`` occurrences, ``most`` at most, and the least n among them."""
+    own = words.groupBy(F.least("n", F.lit(CLASSES)).alias("n"))
+    classes = own.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("total")).collect()
+    total = sum(row.total for row in classes)
+    size, least, left = 0, CLASSES, total - total // rest
+    for row in sorted(classes, reverse=True):
+        if left <= 0 or size >= most:
+            break
+        needed = row.words if row.n == CLASSES else min(row.words, -(-left // row.n))
+        size, least, left = min(most, size + needed), row.n, left - row.total
+    return size, least
+
+
 class Head:
-    """The most frequent words: number by word, and their ids in one ragged array."""
+    """The most frequent words: number by word, their ids in one ragged array, the least n of one (None without any)."""
 
     def __init__(self, words: DataFrame, size: int) -> None:
-        rows = words.orderBy(F.desc("n"), "word").limit(size).select("word", "ids").toArrow()
+        size, least = head_size(words, size)
+        frequent = words.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(size)
+        rows = frequent.select("word", "n", "ids").toArrow()
         self.words = rows["word"].to_pylist()
+        self.least = pc.min(rows["n"]).as_py()
         self.ids, self.bounds = _joined(rows["ids"].to_pylist())
 
 
@@ -248,10 +272,30 @@ def _unpacked_numbers(data: bytes, count: int) -> np.ndarray:
     return numbers
 
 
+def _packed_words(words: list[str]) -> bytes:
+    """The words' lengths and the words."""
+    if not words:
+        return b""
+    sizes = np.array([len(words), *map(len, words)], dtype="<u4")
+    return _COMPRESS.compress(sizes.tobytes() + "".join(words).encode())
+
+
+def _unpacked_words(data: bytes) -> list[str]:
+    if not data:
+        return []
+    raw = _EXPAND.decompress(data)
+    count = int(np.frombuffer(raw, dtype="<u4", count=1)[0])
+    ends = np.cumsum(np.frombuffer(raw, dtype="<u4", count=count, offset=4)).tolist()
+    text = raw[4 * count + 4 :].decode()
+    return [text[a:b] for a, b in pairwise([0, *ends])]
+
+
 def encode(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
     """doc_id and ids (binary, 4 bytes each, little-endian) of every row of ``docs``."""
     words = word_table(docs, path)
-    shared = docs.sparkSession.sparkContext.broadcast(Head(words, head))
+    frequent = Head(words, head)
+    others = words if frequent.least is None else words.where(F.col("n") <= frequent.least)
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     @releasing
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,26 +306,39 @@ def encode(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
         for batch in batches:
             for first, part in chunks(batch.column("text")):
                 ids = batch.column("doc_id").slice(first, len(part))
-                keys, packed, counts, rare_at, rare = [], [], [], [], []
+                keys, packed, counts, rare = [], [], [], []
                 for text, doc_id in zip(part.to_pylist(), ids.to_pylist(), strict=True):
                     own = split(text or "")
                     numbers = np.fromiter((number.get(w, other) for w in own), np.int64, len(own))
-                    at = np.flatnonzero(numbers == other)
                     keys.append(xxhash.xxh3_64_intdigest(f"{doc_id}\0{text or ''}") - (1 << 63))
                     packed.append(_packed_numbers(numbers))
                     counts.append(len(own))
-                    rare_at.append(at.astype(np.int32))
-                    rare.append([own[k] for k in at])
+                    rare.append(_packed_words([own[k] for k in np.flatnonzero(numbers == other)]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys, pa.int64()),
                         ids,
                         pa.array(packed, pa.binary()),
                         pa.array(counts, pa.int32()),
-                        pa.array(rare_at, pa.list_(pa.int32())),
-                        pa.array(rare, pa.list_(pa.string())),
+                        pa.array(rare, pa.binary()),
                     ],
-                    names=["key", "doc_id", "numbers", "n_words", "at", "word"],
+                    names=["key", "doc_id", "numbers", "n_words", "others"],
+                )
+
+    @releasing
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 200):
+                part = batch.slice(first, 200)
+                found = [_unpacked_words(x) for x in part.column("others").to_pylist()]
+                counts = list(map(len, found))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(part.column("key").to_numpy(), counts)),
+                        pa.array(chain.from_iterable(map(range, counts)), pa.int32()),
+                        pa.array(chain.from_iterable(found), pa.string()),
+                    ],
+                    names=["key", "at", "word"],
                 )
 
     @releasing
@@ -301,33 +358,31 @@ def encode(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
                     first, held, words_held = k + 1, [], 0
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Both uses read all columns, so one exchange serves both and texts are not split once more.
     split = texts.mapInArrow(
-        numbered, "key long, doc_id long, numbers binary, n_words int, at array<int>, word array<string>"
-    )
+        numbered, "key long, doc_id long, numbers binary, n_words int, others binary"
+    ).repartition("key")
     rare = (
-        split.select("key", F.explode(F.arrays_zip("at", "word")).alias("rare"))
-        .select("key", "rare.*")
-        .join(words.select("word", "ids"), "word")
+        split.mapInArrow(spread, "key long, at int, word string")
+        .join(others.select("word", "ids"), "word")
         .groupBy("key")
-        .agg(F.collect_set(F.struct("at", "ids")).alias("rare"))
+        .agg(F.sort_array(F.collect_set(F.struct("at", "ids")))["ids"].alias("rare"))
     )
-    whole = split.select("key", "doc_id", "numbers", "n_words").join(rare, "key", "left")
-    return whole.select("doc_id", "numbers", "n_words", "rare").mapInArrow(assembled, "doc_id long, ids binary")
+    return split.join(rare, "key", "left").mapInArrow(assembled, "doc_id long, ids binary")
 
 
 def _assembled(known: Head, rows: list[dict]) -> list[bytes]:
-    """Ids of each document from its word numbers and the ids of its rare words by position."""
+    """Ids of each document from its word numbers and the ids of its other words in their order."""
     counts = np.array([row["n_words"] for row in rows], dtype=np.int64)
-    starts = np.cumsum(counts) - counts
     numbers = np.concatenate([_unpacked_numbers(row["numbers"], row["n_words"]) for row in rows])
-    found = [(start + rare["at"], rare["ids"]) for start, row in zip(starts, rows, strict=True) for rare in row["rare"] or ()]
-    own, bounds = _joined([x for _, x in found])
-    numbers[np.array([at for at, _ in found], dtype=np.int64)] = len(known.words) + np.arange(len(found))
+    found = [ids for row in rows for ids in row["rare"] or ()]
+    own, bounds = _joined(found)
+    numbers[numbers == len(known.words)] = len(known.words) + np.arange(len(found))
     ids = np.concatenate([known.ids, own])
     joint = np.concatenate([known.bounds, known.bounds[-1] + bounds[1:]])
     lengths = np.concatenate([[0], np.cumsum(np.diff(joint)[numbers])])
     whole = _gather(ids, joint, numbers).astype("<u4")
-    cuts = lengths[np.append(starts, counts.sum())]
+    cuts = lengths[np.append(0, np.cumsum(counts))]
     return [whole[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 

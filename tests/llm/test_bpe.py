@@ -51,3 +51,35 @@ def test_known_words_are_numbered_once():
             assert ids[bounds[k] : bounds[k + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
     words = [w for text in texts for w in encoder._splitter.split(text or "")]
     assert len(encoder._number) == len(set(words)) and not encoder._number.new
+
+
+@pytest.mark.parametrize("count", [40, 200])
+def test_words_left_to_the_join_grow_as_the_words_do(spark, count):
+    rows = [(k, f"one two three four five six seven eight nine own{'abcdefghij'[k % 10]}{chr(0x4E00 + k)}") for k in range(count)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = bpe.word_table(docs, PATH)
+    occurrences = {r.word: r.n for r in words.collect()}
+    head = bpe.Head(words, 180)
+    total = sum(occurrences.values())
+    assert total == 10 * count
+    assert total - sum(occurrences[w] for w in head.words) == total // bpe.REST
+    assert head.least == min(occurrences[w] for w in head.words) == 1
+    assert max(n for w, n in occurrences.items() if w not in head.words) <= head.least
+
+
+def test_head_size_of_classes_and_bounds(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "CLASSES", 10)
+    words = spark.createDataFrame([("a", 300), ("b", 20), ("c", 10), ("d", 9), ("e", 9), ("f", 1), ("g", 1)], "word string, n long")
+    assert bpe.head_size(words, 100, 50) == (5, 9)  # 350 occurrences, 7 are left
+    assert bpe.head_size(words, 100, 18) == (4, 9)
+    assert bpe.head_size(words, 100, 300) == (6, 1)
+    assert bpe.head_size(words, 2, 50) == (2, 10)
+    assert bpe.head_size(words, 0, 50)[0] == 0
+    assert bpe.head_size(words.limit(0), 100, 50)[0] == 0
+
+
+def test_texts_are_split_twice_at_most(spark, odd_docs):
+    encoded = bpe.encode(odd_docs, PATH, 20)
+    encoded.collect()
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("Initial Plan")[0]
